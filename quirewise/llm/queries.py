@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, pieces, token_counts
+from . import fingerprints, languages, pieces, substrings, token_counts
 
 #: Folder of the public tokenizers' files; the package says where it is installed.
 TOKENIZERS = Path(importlib.util.find_spec("public_tokenizers").origin).parent if importlib.util.find_spec("public_tokenizers") else Path("/opt/tokenizers")
@@ -30,10 +30,20 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_MODEL).drop("text")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprints.fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    shown = {c: fingerprints.text_of(F.col(s)) for c, s in (("fingerprint", "sketch"), ("edited_fingerprint", "edited_sketch"))}
+    return prints.select("doc_id", "n_chars", "edited_sha256", *(c.alias(n) for n, c in shown.items()), "near_edited", "near_next", "n_shingles")
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_MODEL).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op4_token_counts, op8_pieces)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_language_id, op4_token_counts, op5_fingerprints, op8_pieces, op10_substring_dedup)}
 #: Where SQL can express the whole operator.
 ORACLES: dict[str, str] = {}
