@@ -146,21 +146,30 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 12
         yield pa.Table.from_batches(kept)
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Rows with equal non-null keys, which follow each other in the input."""
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, with where each starts and the last ends; rows of a group have equal non-null keys and
+    follow each other in the input, which may cut them."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not len(batch):
             continue
         keys = batch[key].to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for low, high in zip(cuts, cuts[1:]):
-            if held and held[-1][key][-1].as_py() != keys[low]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(low, high - low))
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if held and held[-1][key][-1].as_py() != keys[0]:
+            cuts = np.concatenate([[0], cuts])
+        if not len(cuts):
+            held.append(batch)
+            continue
+        held.append(batch.slice(0, cuts[-1]))
+        yield _bounded(pa.Table.from_batches([b for b in held if len(b)]), key)
+        held = [batch.slice(cuts[-1])]
     if held:
-        yield pa.Table.from_batches(held)
+        yield _bounded(pa.Table.from_batches(held), key)
+
+
+def _bounded(table: pa.Table, key: str) -> tuple[pa.Table, np.ndarray]:
+    keys = table[key].to_numpy()
+    return table, np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
 
 
 def signed(x: np.ndarray) -> pa.Array:

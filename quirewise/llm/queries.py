@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, languages, pieces, substrings, token_counts
+from . import decontamination, fingerprints, languages, ngram_join, pieces, substrings, token_counts
 
 #: Folder of the public tokenizers' files; the package says where it is installed.
 TOKENIZERS = Path(importlib.util.find_spec("public_tokenizers").origin).parent if importlib.util.find_spec("public_tokenizers") else Path("/opt/tokenizers")
@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = languages.held_out("doc_id", 4, 2)
@@ -44,6 +52,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op4_token_counts, op5_fingerprints, op8_pieces, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_decontamination, op3_language_id, op4_token_counts, op5_fingerprints, op8_pieces, op10_substring_dedup)}
 #: Where SQL can express the whole operator.
 ORACLES: dict[str, str] = {}
