@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, languages, ngram_join, pieces, substrings, token_counts
+from . import decontamination, fingerprints, html_text, languages, licences, ngram_join, pieces, substrings, token_counts, toxicity
 
 #: Folder of the public tokenizers' files; the package says where it is installed.
 TOKENIZERS = Path(importlib.util.find_spec("public_tokenizers").origin).parent if importlib.util.find_spec("public_tokenizers") else Path("/opt/tokenizers")
@@ -44,14 +44,30 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.select("doc_id", "n_chars", "edited_sha256", *(c.alias(n) for n, c in shown.items()), "near_edited", "near_next", "n_shingles")
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.learn(docs))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = languages.held_out("doc_id", 3, 1)
+    model = toxicity.learn(labels.where(~held_out).select("doc_id", "toxic"), docs.select("doc_id", "text"))
+    return toxicity.score(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_MODEL).drop("text")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_decontamination, op3_language_id, op4_token_counts, op5_fingerprints, op8_pieces, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_decontamination, op3_language_id, op4_token_counts, op5_fingerprints, op6_licence_scan, op7_toxicity, op8_pieces, op9_main_text, op10_substring_dedup)}
 #: Where SQL can express the whole operator.
 ORACLES: dict[str, str] = {}
