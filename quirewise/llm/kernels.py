@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 U64 = np.uint64
 BASE, WORD_BASE, PAIR_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 MASK64 = (1 << 64) - 1
+STRETCH = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes that end a run of letters: ASCII other than a-z, A-Z.
@@ -37,7 +38,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=16)
 def _powers(base: int, log2: int) -> np.ndarray:
     out = np.full(1 << log2, base, U64)
     out[0] = 1
@@ -48,13 +49,27 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers(base & MASK64, max(12, int(n).bit_length()))[:n]
 
 
-def ranged(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[start:end] for each pair, equal for equal runs of values wherever they stand."""
-    total = np.empty(len(values) + 1, U64)
-    total[0] = 0
-    np.cumsum(values * powers(base, len(values)), out=total[1:])
-    inverse = powers(pow(base, -1, 1 << 64), len(values) + 1)
-    return (total[ends] - total[starts]) * inverse[starts]
+def ranged(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, codes: np.ndarray | None = None) -> np.ndarray:
+    """Polynomial hash of values[start:end] for each pair, equal for equal runs of values wherever they stand.
+
+    starts must not fall; stretches of about STRETCH values are taken at a time, so memory is bounded by them and the
+    longest run. codes: what stands for each value.
+    """
+    out = np.empty(len(starts), U64)
+    low = 0
+    while low < len(starts):
+        origin = int(starts[low])
+        high = int(np.searchsorted(starts, origin + STRETCH))
+        stop = int(ends[low:high].max())
+        part = values[origin:stop] if codes is None else codes[values[origin:stop]]
+        total = np.empty(len(part) + 1, U64)
+        total[0] = 0
+        np.cumsum(part * powers(base, len(part)), out=total[1:])
+        inverse = powers(pow(base, -1, 1 << 64), len(part) + 1)
+        first = starts[low:high] - origin
+        out[low:high] = (total[ends[low:high] - origin] - total[first]) * inverse[first]
+        low = high
+    return out
 
 
 class Words:
@@ -78,8 +93,8 @@ class Words:
         first[edges] = word[edges]
         last[edges - 1] = word[edges - 1]
         self.starts, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        codes = BYTE_CODES[LOWER][self.data] if fold else BYTE_CODES[self.data]
-        self.hashes = mixed(ranged(codes, self.starts, self.ends, BASE) + (self.ends - self.starts).astype(U64))
+        codes = BYTE_CODES[LOWER] if fold else BYTE_CODES
+        self.hashes = mixed(ranged(self.data, self.starts, self.ends, BASE, codes) + (self.ends - self.starts).astype(U64))
         self.bounds = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.bounds)
 
@@ -132,7 +147,7 @@ def rebatched(batches: Iterator[pa.RecordBatch], text: str = "text", most: int =
             low = high
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 12 << 20, rows: int = 100_000) -> Iterator[pa.Table]:
+def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 8 << 20, rows: int = 100_000) -> Iterator[pa.Table]:
     """Joins small batches into tables of about `most` bytes of text."""
     kept, size, n = [], 0, 0
     for batch in rebatched(batches, text, most, rows):

@@ -19,7 +19,7 @@ document in step 3; documents move once, hashed by id (both joins use the same e
 
 Results in special cases: null and empty texts have no words; texts shorter than a window lose nothing; a null id counts
 as the least one; rows with equal id and text are one place, and don't remove each other, while their repeats elsewhere
-go in each of them; rows with equal id and other texts are told apart by a hash of the text, and the same start in both
+go in each of them; rows with equal id and other texts are told apart by 15 bits of a hash of the text, and the same start in both
 is no earlier place.
 """
 
@@ -97,7 +97,8 @@ def index_blocks(window: int, seed: int):
             # Places that their own block repeats need no count: they get keys that spread. One row stands for them.
             spread = kernels.mixed(found[known].view(U64) * U64(3) + kernels.mixed(doc[known].view(U64))).view(np.int64)
             key = np.concatenate([found[once], spread, found[head]])
-            out = [key, np.concatenate([doc[once], doc[known], doc[head]]), np.concatenate([found[once], found[known], found[head]])]
+            zeros = np.zeros(once.sum() + head.sum(), np.int64)  # the key is the anchor there
+            out = [key, np.concatenate([doc[once], doc[known], doc[head]]), np.insert(zeros, once.sum(), found[known])]
             kind = np.repeat(np.array([0, 1, 2], np.int8), [once.sum(), known.sum(), head.sum()])
             table = pa.RecordBatch.from_arrays([*map(pa.array, out), pa.array(kind)], names=["key", "doc", "anchor", "kind"])
             for low in range(0, len(table), 50_000):
@@ -159,7 +160,7 @@ def covered(words: kernels.Words, own: np.ndarray, start: np.ndarray, length: np
     steps = np.zeros(len(words.starts) + 1, np.int64)
     low = words.bounds[own] + start
     np.add.at(steps, low, 1)
-    np.add.at(steps, low + length, -1)
+    np.add.at(steps, np.minimum(low + length, words.bounds[own + 1]), -1)
     return np.cumsum(steps[:-1]) > 0
 
 
@@ -213,12 +214,13 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     """(doc, spans: array of text_hash, start, length) of rows(doc, text_hash, text): the duplicate factors of each."""
     anchors = rows.select("doc", "text").mapInArrow(index_blocks(window, seed), "key long, doc long, anchor long, kind byte")
     anchors = anchors.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where((F.col("kind") == 1) | ((F.col("kind") == 0) & (F.col("n") > 1)))
-    lists = anchors.groupBy("doc").agg(F.collect_list("anchor").alias("anchors")).withColumnRenamed("doc", "_doc")
+    lists = anchors.groupBy("doc").agg(F.collect_list(F.when(F.col("kind") == 1, F.col("anchor")).otherwise(F.col("key"))).alias("anchors")).withColumnRenamed("doc", "_doc")
     marked = rows.join(lists, F.col("doc") == F.col("_doc")).select("doc", "text_hash", "text", "anchors")
-    found = marked.mapInArrow(factor_blocks(window, seed), "one long, two int, doc long, text_hash long, start int, length int")
-    place = F.struct("doc", "start")
-    found = found.withColumn("first", F.min(place).over(Window.partitionBy("one", "two")))
-    found = found.where((F.col("length") > 0) | (place > F.col("first")))
+    found = marked.mapInArrow(factor_blocks(window, seed), "one long, two int, doc long, text_hash short, start int, length int")
+    places = Window.partitionBy("one", "two").orderBy("doc", "start")
+    found = found.withColumn("first_doc", F.first("doc").over(places)).withColumn("first_start", F.first("start").over(places))
+    later = (F.col("doc") > F.col("first_doc")) | ((F.col("doc") == F.col("first_doc")) & (F.col("start") > F.col("first_start")))
+    found = found.where((F.col("length") > 0) | later)
     span = F.struct("text_hash", "start", F.when(F.col("length") > 0, F.col("length")).otherwise(window).alias("length"))
     return found.groupBy("doc").agg(F.collect_list(span).alias("spans")).withColumnRenamed("doc", "_doc")
 
@@ -228,7 +230,7 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     where nothing goes, else the kept words joined by one space) and those columns of docs."""
     carried = [F.col(c).alias(f"_of_{c}") for c in keep or ()]
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LEAST_ID)).alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"), *carried)
+    rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LEAST_ID)).alias("doc"), F.pmod(F.xxhash64(body), F.lit(1 << 15)).cast("short").alias("text_hash"), body.alias("text"), *carried)
     spans = repeated_spans(rows.select("doc", "text_hash", "text") if carried else rows, window, seed)
     joined = rows.join(spans, F.col("doc") == F.col("_doc"), "left").drop("_doc")
     schema = "doc long, n_words long, n_removed long, kept_sha256 string"

@@ -65,7 +65,7 @@ class WordFeatures:
             if n:
                 some = length > n
                 start = words.starts[some]
-                h = kernels.mixed(kernels.ranged(kernels.BYTE_CODES[words.data], start, start + n, kernels.BASE) + U64(n << 32))
+                h = kernels.mixed(kernels.ranged(words.data, start, start + n, kernels.BASE, kernels.BYTE_CODES) + U64(n << 32))
             else:
                 some, h = slice(None), words.hashes
             f = (h >> U64(64 - self.bits)).astype(np.int64)
