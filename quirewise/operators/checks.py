@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import written
 from .render import MIMETYPE, primary_writing_mode
 from .structure import nav_order_problems
 
@@ -159,7 +160,7 @@ def read_packages(entries: DataFrame) -> DataFrame:
 
 def self_check(entries: DataFrame, horizontal: bool = False) -> DataFrame:
     """(book_id, rule, detail) of what is wrong with packages; entries as from render.read_zips."""
-    p = read_packages(entries)
+    p = written(read_packages(entries), "package-parts")  # each rule reads it
     manifest = p.select("book_id", F.explode("manifest").alias("m")).select("book_id", "m.*")
     spine = p.select("book_id", F.explode("spine").alias("s")).select("book_id", "s.*")
     nav = p.select("book_id", F.explode("nav").alias("n")).select("book_id", "n.*")

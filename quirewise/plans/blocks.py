@@ -175,9 +175,10 @@ def drop_pages(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     kept = F.filter(F.arrays_zip("lines", "pages"), lambda x: ~F.array_contains(F.col("_gone"), x["pages"]))
     b = b.withColumn("_kept", F.when(by_line, kept))
     b = b.where(F.when(by_line, F.size("_kept") > 0).otherwise(~F.array_contains("_gone", F.col("page"))))
-    cut = by_line & (F.size("_kept") < F.size("lines"))
+    b = b.withColumn("_cut", by_line & (F.size("_kept") < F.size("lines")))
+    cut = F.col("_cut")
     b = b.withColumn("page", F.when(cut, F.col("_kept")[0]["pages"]).otherwise(F.col("page"))).withColumn("pages", F.when(cut, F.col("_kept.pages")).otherwise(F.col("pages")))
-    return b.withColumn("lines", F.when(cut, F.col("_kept.lines")).otherwise(F.col("lines"))).drop("_gone", "_kept")
+    return b.withColumn("lines", F.when(cut, F.col("_kept.lines")).otherwise(F.col("lines"))).drop("_gone", "_kept", "_cut")
 
 
 def without_printed_contents(blocks: DataFrame, keep: bool = False, contents_pages: DataFrame | None = None) -> DataFrame:

@@ -89,7 +89,7 @@ def needle(title: Column) -> Column:
     """What of a title is looked for in pages, before normalization; '' if too little is left."""
     t = F.regexp_replace(title, r"(?i)^第\s*[0-9０-９IVXⅠ-Ⅴ]{1,4}\s*[部章]|^Column\s*\d+", "")
     t = F.regexp_replace(F.regexp_replace(t, r"(\d+)\s*$", ""), r"^[0-9０-９\s]+", "")
-    return F.regexp_extract(t, rf"^[^{P.DASHES}\s]+", 0)
+    return F.regexp_extract(t, rf"^[^\s{P.DASHES}]+", 0)
 
 
 def offset(toc: DataFrame, pages: DataFrame, contents: DataFrame, n_pages: DataFrame, probes: int = PROBES) -> DataFrame:
