@@ -345,7 +345,7 @@ def uncovered_pages(spark, sf_dir):
     SELECT u.book_id, min(u.page) AS start, coalesce(any_value(g.f) - 1, max(u.page)) AS "end" FROM {UNCOVERED} u LEFT JOIN g USING (book_id) WHERE g.f IS NULL OR u.page < g.f GROUP BY 1"""
 )
 def front_cover(spark, sf_dir):
-    return longs(contents.cover_front(*_uncovered(spark, sf_dir)).where("ord = 0").select("book_id", "start", "end"))
+    return longs(contents.cover_front(*_uncovered(spark, sf_dir)).where(F.col("title") == contents.FRONT_MATTER).select("book_id", "start", "end"))
 
 
 @query(

@@ -130,8 +130,8 @@ def uncovered_pages(plan: DataFrame, n_pages: DataFrame, leave_out: DataFrame) -
 
 def cover_front(plan: DataFrame, uncovered: DataFrame) -> DataFrame:
     """The plan with a chapter for what is uncovered before its first one, or for all if it has none."""
-    first = plan.groupBy("book_id").agg(F.min_by("start", "ord").alias("_first"))
+    first = plan.groupBy("book_id").agg(F.min_by("start", "ord").alias("_first"), F.min("ord").alias("_ord"))
     head = uncovered.join(first, "book_id", "left").where("_first is null or page < _first")
-    front = head.groupBy("book_id", "_first").agg(F.min("page").alias("start"), F.max("page").alias("_last"))
-    front = front.select("book_id", F.lit(0).alias("ord"), F.lit(FRONT_MATTER).alias("title"), F.lit("大").alias("level"), "start", F.coalesce(F.col("_first") - 1, F.col("_last")).alias("end"))
+    front = head.groupBy("book_id", "_first", "_ord").agg(F.min("page").alias("start"), F.max("page").alias("_last"))
+    front = front.select("book_id", F.coalesce(F.col("_ord") - 1, F.lit(0)).alias("ord"), F.lit(FRONT_MATTER).alias("title"), F.lit("大").alias("level"), "start", F.coalesce(F.col("_first") - 1, F.col("_last")).alias("end"))
     return plan.unionByName(front)
