@@ -8,7 +8,7 @@ over sum of the largest weights; a shingle weighs as often as it occurs) is 0.8
 2. Windows and items have 64-bit SimHash fingerprints. A multi-index of 8 blocks of 8 bits returns the items one of whose
    blocks is within 2 bits of the window's: by the pigeonhole principle all items within radius 23. At resemblance 0.8
    the expected distance is below 10 bits, its standard error below 3.
-3. Items within the radius are verified with the exact weights. Matches of an item that overlap are one row, the best.
+3. Items within the radius are verified with the exact weights. Of matches of an item that overlap, the best stay.
 
 The items are sent to all executors only in parts of at most `part_items` items and `part_bytes` bytes of text, one scan of
 the documents for each part, so what is broadcast is bounded whatever the benchmark's size.
@@ -19,6 +19,7 @@ where just these words stand; repeated rows and items each match by themselves;
 
 from __future__ import annotations
 
+import bisect
 import functools
 from collections.abc import Iterator
 
@@ -173,19 +174,19 @@ class ItemIndex:
 
 
 def best(matches: list, bounds: np.ndarray) -> list:
-    """Of matches of one item in one text that overlap, the best; starts become places within the text."""
+    """Of matches of one item in one text that overlap, the best, of equals the first; starts become places within the text."""
+    by: dict[tuple[int, int], list] = {}
+    for m in matches:
+        by.setdefault(m[:2], []).append(m)
     out: list = []
-    end = -1
-    for row, item, start, size, s in sorted(matches, key=lambda m: (m[0], m[1], m[2])):
-        start -= int(bounds[row])
-        if out and out[-1][:2] == (row, item) and start < end:
-            end = max(end, start + size)
-            if s > out[-1][4]:
-                out[-1] = (row, item, start, size, s)
-        else:
-            out.append((row, item, start, size, s))
-            end = start + size
-    return out
+    for (row, item), group in by.items():
+        taken: list[tuple[int, int]] = []
+        for _, _, start, size, s in sorted(group, key=lambda m: (-m[4], m[2])):
+            k = bisect.bisect(taken, (start, size))
+            if (k == 0 or sum(taken[k - 1]) <= start) and (k == len(taken) or start + size <= taken[k][0]):
+                taken.insert(k, (start, size))
+                out.append((row, item, start - int(bounds[row]), size, s))
+    return sorted(out, key=lambda m: m[:3])
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", item_column: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, part_items: int = PART_ITEMS, part_bytes: int = PART_BYTES) -> DataFrame:
