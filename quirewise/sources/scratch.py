@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 
 
+@functools.cache
+def _own_folder() -> str:
+    """Where no shared folder is set, as in tests: one below the working folder, gone at the end."""
+    folder = Path(".checkpoints", uuid.uuid4().hex).absolute()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder.as_uri()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table below spark.checkpoint.dir, or below ./.checkpoints where that is unset, read again."""
+    """df as a Parquet table below spark.checkpoint.dir, read again; what it was made of isn't computed again."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or Path(".checkpoints").absolute().as_uri()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     path = f"{root.rstrip('/')}/quirewise-{uuid.uuid4().hex}-{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
