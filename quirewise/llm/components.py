@@ -19,7 +19,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     for _ in range(most_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        # Written, so that both sides of the join come from exchanges of their own and a hot centre's rows can be split.
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")), "least")
         large = both.join(least, both.u == least.k).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         down = down.withColumnRenamed("u", "k")
