@@ -6,16 +6,17 @@ A polynomial hash with an odd base modulo 2**64 is read off prefix sums; two-rou
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..sources.scratch import written  # noqa: F401
+
 U64 = np.uint64
 BASE, WORD_BASE, PAIR_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 MASK64 = (1 << 64) - 1
@@ -191,24 +192,6 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors see; where that is unset, below ./.checkpoints."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        from pathlib import Path
-
-        root = Path(".checkpoints").absolute().as_uri()
-    return f"{root.rstrip('/')}/quirewise-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: df as a Parquet table in the shared folder, read again."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}-{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def added(df: DataFrame, *fields: str) -> T.StructType:
     """The schema of df with further fields, each given as "name type"."""
     return T.StructType([*df.schema.fields, *(f for x in fields for f in T.StructType.fromDDL(x).fields)])
