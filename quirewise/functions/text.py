@@ -55,8 +55,16 @@ def nfkc_lines(lines: pd.Series) -> pd.Series:
     return lines.map(lambda xs: None if xs is None else [nfkc_text(x) for x in xs])
 
 
+#: What some rule of T1 may change; a line without it, of plain Latin letters and marks, stays as it is.
+TOUCHED = r"[^\x20-\x7eÀ-ÖØ-öø-ÿ]|[()\[\]{}?!;%&~]|--|  |^ | \z"
+
+
 def tidy(s: Column) -> Column:
     """T1 after NFKC: dashes, punctuation (T2), marks beside CJK characters (T3), blanks."""
+    return F.when(s.rlike(TOUCHED), _tidied(s)).otherwise(s)
+
+
+def _tidied(s: Column) -> Column:
     s = F.regexp_replace(s, f"[{P.DASHES}]{{2,}}", "――")
     s = F.translate(s, P.PUNCTUATION_FROM, P.PUNCTUATION_TO)
     for pattern, by in (
@@ -94,7 +102,8 @@ def join_lines(lines: Column) -> Column:
     """T5: one line of wrapped ones; a space only between Latin words that aren't one word cut in two."""
 
     def add(out: Column, line: Column) -> Column:
-        apart = out.rlike("[0-9A-Za-z]$") & line.rlike("^[0-9A-Za-z]") & ~is_split_token(out, line)
+        # Only the last character of what is joined so far is looked at, unless both sides are Latin.
+        apart = F.right(out, F.lit(1)).rlike("[0-9A-Za-z]") & line.rlike("^[0-9A-Za-z]") & ~is_split_token(out, line)
         return F.concat(out, F.when(apart, F.lit(" ")).otherwise(F.lit("")), line)
 
     filled = F.filter(F.transform(lines, strip), lambda x: x != "")
