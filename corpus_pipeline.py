@@ -24,15 +24,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select("_row.*")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """Adds _key, 64 bits of id and text: rows with a null or repeated id stay apart, only equal rows share one."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+
+
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of linked documents; of rows with its id the least text."""
-    classes = ngram_join.join(docs)
-    heads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.coalesce("doc_id", F.lit(ngram_join.LEAST_ID)).alias("_head")).distinct()
-    rows = docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(ngram_join.LEAST_ID)))
-    kept = rows.join(heads, F.col("_key") == F.col("_head"), "left_semi")
-    # Already dealt by id, so this ranks repeated rows without another shuffle.
-    order = Window.partitionBy("_key").orderBy(F.coalesce("text", F.lit("")))
-    return kept.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").select(*docs.columns)
+    """Keeps one row of each group of linked rows: that with the least id (a null id counts as the least); all others stay."""
+    rows = keyed(docs)
+    linked = kernels.written(ngram_join.join(rows, "_key").where("n_links > 0").select(F.col("_key").alias("_linked"), "class_id").distinct(), "linked")
+    ids = rows.select("_key", F.coalesce("doc_id", F.lit(ngram_join.LEAST_ID)).alias("_id")).distinct()
+    heads = linked.join(ids, F.col("_linked") == F.col("_key")).groupBy("class_id").agg(F.min(F.struct("_id", "_key")).alias("_least")).select(F.col("_least._key").alias("_head"))
+    marks = linked.join(heads, F.col("_linked") == F.col("_head"), "left").select("_linked", F.col("_head").isNotNull().alias("_first"))
+    kept = rows.join(marks, F.col("_key") == F.col("_linked"), "left").where("_first is null or _first")
+    # Already dealt by key, so this ranks equal rows without another shuffle.
+    order = Window.partitionBy("_key").orderBy("_key")
+    return kept.withColumn("_rank", F.row_number().over(order)).where("_first is null or _rank = 1").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +54,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops the rows that hold a benchmark item, and no others with their id."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = kernels.written(decontamination.find(docs, benchmark).select(F.coalesce("doc_id", F.lit(ngram_join.LEAST_ID)).alias("_hit")).distinct(), "contaminated")
-    return docs.join(found, F.coalesce(F.col("doc_id"), F.lit(ngram_join.LEAST_ID)) == F.col("_hit"), "left_anti")
+    rows = keyed(docs)
+    found = kernels.written(decontamination.find(rows, benchmark, "_key").select(F.col("_key").alias("_hit")).distinct(), "contaminated")
+    return rows.join(found, F.col("_key") == F.col("_hit"), "left_anti").select(*docs.columns)
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

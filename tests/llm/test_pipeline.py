@@ -34,6 +34,22 @@ def test_stages_keep_clean_documents_and_take_effect(spark, tmp_path):
         assert stage(spark, empty, str(tmp_path)).collect() == []
 
 
+def test_rows_with_null_or_repeated_ids_stay_apart(spark, tmp_path):
+    rng = random.Random(5)
+    a, b, c, d, e, f = (" ".join(f"the{rng.randrange(10**6):x}and" for _ in range(60)) for _ in range(6))
+    item = " ".join(f"quiz{j}ing" for j in range(25))
+    # b and c have a copy elsewhere; their ids are null or repeated, with a text that sorts before theirs.
+    rows = [(None, a), (None, "a " + d), (None, b), (5, b), (7, c), (7, "a " + e), (9, c), (3, f), (3, f), (None, f"{f[::-1]} {item}"), (3, f"{e[::-1]} {item}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(pipeline.STAGES)
+    got = lambda frame: sorted(map(tuple, frame.collect()), key=repr)
+    out = stages["ngram_jaccard_join"](spark, docs, str(tmp_path))
+    assert got(out) == sorted((r for r in set(rows) if r not in {(5, b), (9, c)}), key=repr)
+    out = stages["benchmark_decontamination"](spark, docs, str(tmp_path))
+    assert got(out) == sorted(rows[:-2], key=repr)
+
+
 def test_queries_have_no_row_limits():
     source = open(queries.__file__).read() + open(pipeline.__file__).read()
     assert not re.search(r"\.limit\(|\.sample\(|\.head\(", source)
