@@ -2,13 +2,17 @@
 
 Markup is stripped into lines, one for each block of the page. A line's weight is its number of characters outside links;
 lines in page furniture (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments,
-told by element, role, class and id) and, where a page marks its article, lines outside of it weigh nothing. The weights
-are summed over sliding windows of lines. Text surges where a sum reaches a threshold (any weight, where the article is
-marked), and dives where the sum falls to zero; lines that weigh something between a surge and its dive are the text. Nothing else is dropped, and no length is
-bounded. Each page is handled by itself: no shuffle, and a hot host or copied page has no effect.
+told by element, role, class and id) weigh nothing. The weights are summed over sliding windows of lines. Text surges where
+a sum reaches a threshold, and dives where the sum falls to zero; lines that weigh something between a surge and its dive
+are the text. A line inside of an article or main part has its links counted and the threshold as extra weight. Where a page
+has such lines, windows end at the part's borders, and what stands between parts is text only if its largest sum is at
+least OUTSIDE of the page's largest. Nothing else is dropped, and no length is bounded. Each page is handled by itself: no
+shuffle, and a hot host or copied page has no effect.
 
 Results in special cases: null or empty html, and pages of furniture alone, give the empty text; markup that never closes
-ends with its parent, and an article or main part inside of open furniture ends it; equal pages give equal texts.
+ends with its parent, and an article or main part ends furniture around it that has no end tag; one in furniture that has
+one is furniture, but for furniture told by class or id alone, which is taken for a frame of the page if such parts weigh
+more than all else; equal pages give equal texts.
 """
 
 from __future__ import annotations
@@ -25,9 +29,12 @@ from . import kernels
 WINDOW = 3
 #: A surge takes this share of the page's largest window sum, or SURGE characters if that is less.
 SURGE_SHARE, SURGE = 0.2, 80
+#: What stands outside of the marked parts takes this share of the page's largest window sum.
+OUTSIDE = 0.5
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|select|title)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S | re.I)
 NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|type)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 SPLIT = re.compile(r"[\s_\-:]+|(?<=[a-z])(?=[A-Z])")
+ROLE = re.compile(r"\brole\s*=", re.I)
 #: HTML elements by what they are.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,12 +71,42 @@ def is_furniture(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, int]], bool]:
-    """(text, weight) of each block of a page, in page order; whether the page marks its article."""
+def ended(html: str) -> set[int]:
+    """Where the tags start that have an end tag of their own."""
+    out: set[int] = set()
+    open_: list[tuple[str, int]] = []
+    for m in TOKEN.finditer(html):
+        name = (m[3] or "").lower()
+        if not name or name in INLINE or name in VOID:
+            continue
+        if not m[2]:
+            open_.append((name, m.start()))
+            continue
+        for k in range(len(open_) - 1, -1, -1):
+            if open_[k][0] == name:
+                out.add(open_[k][1])
+                del open_[k:]
+                break
+    return out
+
+
+def lines_of(html: str) -> list[tuple[str, int, bool]]:
+    """(text, weight, whether inside of an article or main part) of each block of a page, in page order."""
+    lines, framed = _lines_of(html, False)
+    if framed:
+        other, _ = _lines_of(html, True)
+        if sum(w for _, w, inside in other if inside) > 2 * sum(w for _, w, _ in lines):
+            return other
+    return lines
+
+
+def _lines_of(html: str, frames: bool) -> tuple[list[tuple[str, int, bool]], bool]:
+    """frames: whether an article or main part ends furniture told by class or id alone. Also whether there was any to end."""
     raw: list[tuple[str, int, bool, bool]] = []  # text, characters in links, furniture, inside of an article
     parts: list[str] = []
     linked = 0
-    open_: list[tuple[str, bool, bool]] = []  # name, whether it is furniture, whether it is a main part
+    open_: list[tuple[str, bool, bool, int, bool]] = []  # name, whether it is furniture, whether it is a main part, where, whether told by class or id alone
+    framed, has_end = False, None
     furniture = inside = link = 0
 
     def end_line() -> None:
@@ -83,7 +120,7 @@ def lines_of(html: str) -> tuple[list[tuple[str, int]], bool]:
 
     def close(n: int) -> None:
         nonlocal furniture, inside
-        for _, bad, main in open_[n:]:
+        for _, bad, main, *_ in open_[n:]:
             furniture -= bad
             inside -= main
         del open_[n:]
@@ -104,7 +141,7 @@ def lines_of(html: str) -> tuple[list[tuple[str, int]], bool]:
         if name in INLINE:
             if not m[2] and name not in VOID and m[4] and is_furniture(name, m[4], inside > 0):
                 end_line()
-                open_.append((name, True, False))
+                open_.append((name, True, False, m.start(), True))
                 furniture += 1
             elif m[2] and open_ and open_[-1][0] == name:
                 end_line()
@@ -123,31 +160,47 @@ def lines_of(html: str) -> tuple[list[tuple[str, int]], bool]:
         if name == "body":
             close(0)
         elif name in MAIN and not bad and furniture:
-            close(next(k for k, o in enumerate(open_) if o[1]))  # furniture that was not closed
+            if has_end is None:
+                has_end = ended(html)
+            framed |= all(o[4] for o in open_ if o[1] and o[3] in has_end)
+            over = [k for k, o in enumerate(open_) if o[1] and (o[3] not in has_end or frames and o[4])]
+            if over:
+                close(over[0])
         main = name in MAIN and not bad
-        open_.append((name, bad, main))
+        open_.append((name, bad, main, m.start(), bad and name not in FURNITURE and name != "header" and not ROLE.search(m[4])))
         furniture += bad
         inside += main
     if at < len(html):
         parts.append(html[at:])
     end_line()
-    marked = any(i and not f for _, _, f, i in raw)
-    return [(text, 0 if f or marked and not i else len(text) if marked else max(0, len(text) - links)) for text, links, f, i in raw], marked
+    return [(text, 0 if f else len(text) if i else max(0, len(text) - links), i and not f) for text, links, f, i in raw], framed
 
 
 def main_text(html: str | None, window: int = WINDOW) -> str:
-    lines, marked = lines_of(html or "")
-    weights = [w for _, w in lines]
-    sums = [sum(weights[i : i + window]) for i in range(len(weights))]
-    surge = 1 if marked else min(SURGE, SURGE_SHARE * max(sums, default=0))
-    out, within = [], False
-    for (text, weight), total in zip(lines, sums):
-        if not within:
-            within = total > 0 and total >= surge
-        elif total == 0:
-            within = False
-        if within and weight:
-            out.append(text)
+    lines = lines_of(html or "")
+    marked = any(inside for *_, inside in lines)
+    # Furniture goes with what stands around it, so it doesn't end a part.
+    runs: list[list[tuple[str, int, bool]]] = []
+    for line in lines:
+        if runs and (not line[1] or not marked or line[2] == next((x[2] for x in reversed(runs[-1]) if x[1]), line[2])):
+            runs[-1].append(line)
+        else:
+            runs.append([line])
+    sums = [[sum(w for _, w, _ in run[i : i + window]) for i in range(len(run))] for run in runs]
+    largest = max((max(x) for x in sums), default=0)
+    surge = min(SURGE, SURGE_SHARE * largest)
+    out = []
+    for run, totals in zip(runs, sums):
+        if not any(inside for *_, inside in run) and marked and max(totals) < OUTSIDE * largest:
+            continue
+        within = False
+        for (text, weight, inside), total in zip(run, totals):
+            if not within:
+                within = total > 0 and total + surge * inside >= surge
+            elif total == 0:
+                within = False
+            if within and weight:
+                out.append(text)
     return " ".join(out)
 
 

@@ -167,3 +167,15 @@ def test_main_text_goldens(spark):
     got = [r.text for r in html_text.extract(frame).orderBy("page_id").collect()]
     assert got == [want, "", "", "", "plain text", "One twobold x", "a < b <c>", "in"]
     assert html_text.extract(frame.where("false")).collect() == []
+
+
+def test_main_text_weighs_text_outside_of_articles():
+    body = "<h1>Title</h1>" + "".join(f"<p>Paragraph {k} of the body, long enough to be the text of this page by its weight alone.</p>" for k in range(6))
+    want = " ".join(["Title", *(f"Paragraph {k} of the body, long enough to be the text of this page by its weight alone." for k in range(6))])
+    teaser = "<article><h3>Other</h3><p>A teaser.</p></article>"
+    for furniture in (f"<aside class=related>{teaser}</aside>", f"<footer>{teaser}</footer>", f"<nav><div>{teaser}</div></nav>", f"<div class=sidebar>{teaser}</div>"):
+        for page in (f"<div>{body}</div>{furniture}", f"{furniture}<div>{body}</div>", f"<article>{body}</article>{furniture}", f"<div>Site name</div><main>{body}</main>{furniture}<div>Made by us</div>"):
+            assert html_text.main_text(f"<body>{page}</body>") == want, page
+    assert html_text.main_text(f"<div class='page sidebar-right'><article>{body}</article></div>") == want
+    assert html_text.main_text(f"<div>{body}</div><article><p>A teaser.</p></article>") == f"{want} A teaser."
+    assert html_text.main_text(f"<nav>menu<article>{body}</article>") == want
