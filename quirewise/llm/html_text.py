@@ -2,9 +2,9 @@
 
 Markup is stripped into lines, one for each block of the page. A line's weight is its number of characters outside links;
 lines in page furniture (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments,
-told by element, role, class and id) weigh nothing. The weights are summed over sliding windows of lines. Text surges where
-a sum reaches a threshold, and dives where the sum falls to zero; lines that weigh something between a surge and its dive
-are the text. A line inside of an article or main part has its links counted and the threshold as extra weight. Where a page
+told by element, role, and class or id: by one word of a class outside of the marked parts, else by whole names) weigh nothing. The weights are summed over sliding windows of lines. Text surges where
+a sum reaches a threshold, and dives where the sum falls to zero; lines between a surge and its dive that aren't furniture
+are the text, those that are wholly links too. A line inside of an article or main part has its links counted and the threshold as extra weight. Where a page
 has such lines, windows end at the part's borders, and what stands between parts is text only if its largest sum is at
 least OUTSIDE of the page's largest. Nothing else is dropped, and no length is bounded. Each page is handled by itself: no
 shuffle, and a hot host or copied page has no effect.
@@ -44,6 +44,10 @@ WHOLE = frozenset("html body main".split())
 #: Words of a class or id that tell furniture, and words before them that take this back.
 FURNITURE_WORDS = frozenset("ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar sidebars menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar comment comments commentlist disqus respond reply replies social share sharing related recommended widget widgets login signup search".split())
 HEADER_WORDS = frozenset(("header",))
+#: Words that make a whole name of furniture with one of those; other words make a topic of it.
+BOX_WORDS = frozenset("area bar block box btn button buttons container content form group holder icons inner item items left links list main module outer panel post posts right section site slot top bottom unit wrap wrapper".split())
+#: Elements whose ids are slugs of what they say.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 COMMENT_WORDS = frozenset("comment comments commentlist reply".split())
 TAKES_BACK = frozenset("no has with without".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
@@ -61,10 +65,10 @@ def is_furniture(name: str, attributes: str, inside: bool) -> bool:
             return True
         if key == "role" and value.lower() in FURNITURE_ROLES:
             return True
-        if key in ("class", "id") and name not in WHOLE:
+        if key == "class" and name not in WHOLE or key == "id" and name not in WHOLE and name not in TITLED:
             for one in value.split():
-                words = {w.lower() for w in SPLIT.split(one)}
-                if words & TAKES_BACK:
+                words = {w.lower() for w in SPLIT.split(one) if w}
+                if words & TAKES_BACK or (inside or key == "id") and not words <= FURNITURE_WORDS | HEADER_WORDS | BOX_WORDS:
                     continue
                 if words & (COMMENT_WORDS if name == "article" else FURNITURE_WORDS) or name != "article" and not inside and words & HEADER_WORDS:
                     return True
@@ -90,17 +94,17 @@ def ended(html: str) -> set[int]:
     return out
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, whether inside of an article or main part) of each block of a page, in page order."""
+def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
+    """(text, weight, whether inside of an article or main part, whether furniture) of each block of a page, in page order."""
     lines, framed = _lines_of(html, False)
     if framed:
         other, _ = _lines_of(html, True)
-        if sum(w for _, w, inside in other if inside) > 2 * sum(w for _, w, _ in lines):
+        if sum(w for _, w, inside, _ in other if inside) > 2 * sum(w for _, w, *_ in lines):
             return other
     return lines
 
 
-def _lines_of(html: str, frames: bool) -> tuple[list[tuple[str, int, bool]], bool]:
+def _lines_of(html: str, frames: bool) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     """frames: whether an article or main part ends furniture told by class or id alone. Also whether there was any to end."""
     raw: list[tuple[str, int, bool, bool]] = []  # text, characters in links, furniture, inside of an article
     parts: list[str] = []
@@ -173,33 +177,33 @@ def _lines_of(html: str, frames: bool) -> tuple[list[tuple[str, int, bool]], boo
     if at < len(html):
         parts.append(html[at:])
     end_line()
-    return [(text, 0 if f else len(text) if i else max(0, len(text) - links), i and not f) for text, links, f, i in raw], framed
+    return [(text, 0 if f else len(text) if i else max(0, len(text) - links), i and not f, f) for text, links, f, i in raw], framed
 
 
 def main_text(html: str | None, window: int = WINDOW) -> str:
     lines = lines_of(html or "")
-    marked = any(inside for *_, inside in lines)
+    marked = any(inside for _, _, inside, _ in lines)
     # Furniture goes with what stands around it, so it doesn't end a part.
-    runs: list[list[tuple[str, int, bool]]] = []
+    runs: list[list[tuple[str, int, bool, bool]]] = []
     for line in lines:
         if runs and (not line[1] or not marked or line[2] == next((x[2] for x in reversed(runs[-1]) if x[1]), line[2])):
             runs[-1].append(line)
         else:
             runs.append([line])
-    sums = [[sum(w for _, w, _ in run[i : i + window]) for i in range(len(run))] for run in runs]
+    sums = [[sum(w for _, w, *_ in run[i : i + window]) for i in range(len(run))] for run in runs]
     largest = max((max(x) for x in sums), default=0)
     surge = min(SURGE, SURGE_SHARE * largest)
     out = []
     for run, totals in zip(runs, sums):
-        if not any(inside for *_, inside in run) and marked and max(totals) < OUTSIDE * largest:
+        if not any(inside for _, _, inside, _ in run) and marked and max(totals) < OUTSIDE * largest:
             continue
         within = False
-        for (text, weight, inside), total in zip(run, totals):
+        for (text, weight, inside, furniture), total in zip(run, totals):
             if not within:
-                within = total > 0 and total + surge * inside >= surge
+                within = weight > 0 and total + surge * inside >= surge
             elif total == 0:
                 within = False
-            if within and weight:
+            if within and not furniture:
                 out.append(text)
     return " ".join(out)
 

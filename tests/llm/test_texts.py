@@ -179,3 +179,13 @@ def test_main_text_weighs_text_outside_of_articles():
     assert html_text.main_text(f"<div class='page sidebar-right'><article>{body}</article></div>") == want
     assert html_text.main_text(f"<div>{body}</div><article><p>A teaser.</p></article>") == f"{want} A teaser."
     assert html_text.main_text(f"<nav>menu<article>{body}</article>") == want
+
+
+def test_main_text_keeps_what_names_and_links_do_not_make_furniture():
+    long = "A paragraph that is long enough to be the text of this page by its weight alone, and some more words."
+    body = f"<h2 id='related-work'>Related work</h2><p>{long}</p><h2 id='search-algorithms'>Search</h2><p id=notice>{long}</p><section id='social-policy'><h3>Policy</h3><p>{long}</p></section>"
+    want = f"Related work {long} Search {long} Policy {long}"
+    for page in (f"<article>{body}</article>", f"<div>{body}</div>", f"<article>{body}<div class='share-buttons'>Share</div><div id=comments>Me too</div></article>"):
+        assert html_text.main_text(page) == want
+    linked = f"<p>{long}</p><p><a href=#>All of this line is a link</a></p><p>{long}</p><p><a href=#>Next</a></p>"
+    assert html_text.main_text(f"<div><p><a href=#>Home</a></p>{linked}</div>") == f"{long} All of this line is a link {long}"
