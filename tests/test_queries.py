@@ -36,3 +36,10 @@ def test_query(spark, sql, name):
         assert got == []
     else:
         assert got
+
+
+def test_toc_numbers_reads_all_lines(spark, tmp_path):
+    n = {1: 40, 2: 13, 3: 5}
+    spark.createDataFrame([(d, "\n".join(["x"] * k)) for d, k in n.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.book_id, r.ord, r.title) for r in QUERIES["toc_numbers"](spark, str(tmp_path)).collect())
+    assert got == [(d, j + 1, f"第{i + 1}章") for d, k in n.items() for j, i in enumerate(i for i in range(k) if i % 3 != 2)]
