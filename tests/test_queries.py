@@ -43,3 +43,10 @@ def test_toc_numbers_reads_all_lines(spark, tmp_path):
     spark.createDataFrame([(d, "\n".join(["x"] * k)) for d, k in n.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted((r.book_id, r.ord, r.title) for r in QUERIES["toc_numbers"](spark, str(tmp_path)).collect())
     assert got == [(d, j + 1, f"第{i + 1}章") for d, k in n.items() for j, i in enumerate(i for i in range(k) if i % 3 != 2)]
+
+
+def test_fix_apply_ordered_judges_whole_texts(spark, tmp_path):
+    texts = ["alpha " + "word " * 20 + "alpha", "beta " + "word " * 20, "gamma " + "word " * 20]
+    spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.ord, r.line_id, r.reason) for r in QUERIES["fix_apply_ordered"](spark, str(tmp_path)).collect())
+    assert [(o, i) for o, i, _ in got] == [(1, None), (2, 1), (3, 2)] and got[0][2] == "not found"
