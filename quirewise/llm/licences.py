@@ -1,17 +1,21 @@
 """Operator 6: licence scans by a trained paragraph classifier.
 
-A paragraph is a line of a document. Its features are words and pairs of successive words in lower case, hashed, 0/1. A
+A paragraph is a line of a document, or successive lines that aren't blank, joined; long ones are read in windows of STRETCH
+words, half a window apart. Its features are words and pairs of successive words in lower case, hashed, 0/1. A
 softmax model with one class for each licence family and one for what is unknown is trained on varied notices and
 paragraphs sampled from the corpus (bounded by `sample`; families come from the templates, so no labels are read). The
 model's temperature is fitted on paragraphs that it wasn't trained on, and a family is predicted from `least` calibrated
 probability on. A prediction stands if the closest template of its family has `confirm` of its words and pairs in the
-paragraph; otherwise the paragraph is reported as `unknown` with confirmed = false.
+paragraph; otherwise the paragraph is reported as `unknown` with confirmed = false. Where the families have that probability
+only together, each of the two first is scored on what the other's closest template leaves of the paragraph; where one is
+confirmed, the others are scored on what its closest template leaves.
 
 Scanning is one pass without a shuffle over all words of all texts; a paragraph none of whose features has a weight is
 unknown without more work, which is exact, as the intercepts then decide.
 
-Results in special cases: null and empty texts and empty lines have no rows; a licence text over several lines gives a
-row a line; repeated rows give repeated rows; equal paragraphs get equal results.
+Results in special cases: null and empty texts and empty lines have no rows; joined lines have a
+row only if confirmed where no line of theirs is confirmed for the family by itself, numbered by the first line that adds to
+the similarity; repeated rows give repeated rows; equal paragraphs get equal results.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ BITS = 18
 LEAST = 0.9
 CONFIRM = 0.6
 VARIANTS = 24
+#: Words of a window of joined lines: twice those of the longest template.
+STRETCH = 100
 #: Bytes that end a word: ASCII other than letters, digits, '.', '-' and '+'.
 BREAKS = np.array([not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 or b in b"-+") for b in range(256)])
 #: Notices of licence families.
@@ -139,23 +145,107 @@ class LicenceModel:
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
         some, place = np.unique(row, return_inverse=True)
         p = self.probabilities(linear.Sparse(place, self.slots[f], len(some)))
-        top = p.argmax(1)
-        hit = np.flatnonzero((top < len(self.families) - 1) & (p.max(1) >= least))
+        hit = np.flatnonzero((p[:, :-1].sum(1) >= least) & (p.argmax(1) < len(self.families) - 1))
         if not len(hit):
             return (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
         row, f = self.features.of(lines.take(pa.array(some[hit])))
         bounds = np.searchsorted(row, np.arange(len(hit) + 1))
-        close = np.zeros(len(hit))
-        for k, h in enumerate(hit):
+        out = []
+        for k, h in enumerate(hit.tolist()):
             mine = f[bounds[k] : bounds[k + 1]]
-            close[k] = max((np.isin(t, mine).mean() for family, t in self.templates if family == top[h]), default=0.0)
-        return some[hit], top[hit], p[hit, top[hit]], close
+            found = self._families(mine, p[h], least, confirm)
+            out += [(int(some[h]), family, share, close) for family, share, close in found]
+        columns = list(zip(*out)) or [()] * 4
+        return np.array(columns[0], np.int64), np.array(columns[1], np.int64), np.array(columns[2], float), np.array(columns[3], float)
+
+    def closest(self, mine: np.ndarray, family: int) -> tuple[float, np.ndarray]:
+        """Similarity of a family's closest template to a paragraph's features, and its features."""
+        return max(((float(np.isin(t, mine).mean()), t) for k, t in self.templates if k == family), key=lambda x: x[0], default=(0.0, mine[:0]))
+
+    def _rest(self, mine: np.ndarray, *templates: np.ndarray) -> np.ndarray:
+        """Probabilities of what some templates leave of a paragraph."""
+        left = mine[self.wanted[mine] & ~np.isin(mine, np.concatenate(templates))]
+        return self.probabilities(linear.Sparse(np.zeros(len(left), np.int64), self.slots[left], 1))[0]
+
+    def _families(self, mine: np.ndarray, p: np.ndarray, least: float, confirm: float) -> list[tuple[int, float, float]]:
+        """(family, probability, similarity) of a paragraph: the families confirmed, or the one predicted."""
+        first, second = (int(k) for k in np.argsort(-p[:-1], kind="stable")[:2])
+        if p[first] >= least:
+            found = [(first, float(p[first]), self.closest(mine, first)[0])]
+        else:
+            found = []
+            for family, other in ((first, second), (second, first)):
+                share = self._rest(mine, self.closest(mine, other)[1])[family]
+                if share >= least and (close := self.closest(mine, family)[0]) >= confirm:
+                    found.append((family, float(share), close))
+        while found and found[-1][2] >= confirm:
+            rest = self._rest(mine, *(self.closest(mine, k)[1] for k, _, _ in found))
+            k = int(rest.argmax())
+            if k == len(self.families) - 1 or rest[k] < least or k in {x[0] for x in found} or (close := self.closest(mine, k)[0]) < confirm:
+                break
+            found.append((k, float(rest[k]), close))
+        return found
+
+    def scan_joined(self, lines: pa.Array, first: np.ndarray, line: np.ndarray, family: np.ndarray, close: np.ndarray, least: float, confirm: float) -> list[tuple[int, int, int, float, float]]:
+        """(first line, end, family, probability, similarity) of notices that only joined lines confirm; line, family and
+        close are of the lines by themselves, first has each text's first line."""
+        text = lines.to_pylist()
+        spans = stretches(text, first.tolist())
+        if not spans:
+            return []
+        where, kind, share, similar = self.scan(pa.array([" ".join(text[a:b]) for a, b in spans], pa.string()), least, confirm)
+        known: dict[int, list[tuple[int, int]]] = {}
+        for at, k, c in zip(line.tolist(), family.tolist(), close.tolist()):
+            if c >= confirm:
+                known.setdefault(k, []).append((at, at + 1))
+        out = []
+        for i in np.argsort(-similar, kind="stable").tolist():
+            (a, b), k, c = spans[where[i]], int(kind[i]), float(similar[i])
+            if c < confirm:
+                break
+            if any(x < b and y > a and y - x == 1 for x, y in known.get(k, ())):
+                continue
+            like = lambda x, y: self.closest(self.features.of(pa.array([" ".join(text[x:y])]))[1], k)[0]  # noqa: B023, E731
+            while b - a > 1 and like(a + 1, b) >= c:
+                a += 1
+            while b - a > 1 and like(a, b - 1) >= c:
+                b -= 1
+            if not any(x < b and y > a for x, y in known.get(k, ())):
+                known.setdefault(k, []).append((a, b))
+                out.append((a, b, k, float(share[i]), c))
+        return sorted(out)
 
     @property
     def wanted(self) -> np.ndarray:
         return self.slots > 0
 
 
+def stretches(lines: list[str], first: list[int], size: int = STRETCH) -> list[tuple[int, int]]:
+    """Windows of two or more successive lines of one text, none blank, of `size` words or all there are, half of it apart."""
+    out = []
+    starts = set(first)
+    at = 0
+    while at < len(lines):
+        end, counts = at, []
+        while end < len(lines) and (end == at or end not in starts) and (n := len(lines[end].split())):
+            counts.append(n)
+            end += 1
+        low = 0
+        while len(counts) - low > 1:
+            high, words, half = low, 0, low + 1
+            while high < len(counts) and (words < size or high - low < 2):
+                words += counts[high]
+                high += 1
+                if words <= size // 2:
+                    half = high
+            out.append((at + low, at + high))
+            if high == len(counts):
+                break
+            low = max(half, low + 1)
+        at = max(end, at + 1)
+    return out
+
+
 def train(negatives: list[str], bits: int = BITS, seed: int = 6) -> LicenceModel:
     """From the templates, varied by surroundings and lost words, and paragraphs of the corpus."""
     rng = np.random.default_rng(seed)
@@ -232,6 +322,15 @@ def scan(docs: DataFrame, model: LicenceModel, id_column: str = "doc_id", text:
         for batch in kernels.rebatched(batches, "text"):
             lines, first = m.features.lines(batch["text"])
             line, family, p, close = m.scan(lines, least, confirm)
+            joined = m.scan_joined(lines, first, line, family, close, least, confirm)
+            covered = {(at, k) for a, b, k, _, _ in joined for at in range(a, b)}
+            alone = np.array([(at, k) not in covered for at, k in zip(line.tolist(), family.tolist())], bool)
+            line, family, p, close = line[alone], family[alone], p[alone], close[alone]
+            if joined:
+                more = [np.array(x) for x in zip(*((a, k, share, c) for a, _, k, share, c in joined))]
+                line, family, p, close = (np.concatenate(x) for x in zip((line, family, p, close), more))
+                order = np.lexsort((family, line))
+                line, family, p, close = line[order], family[order], p[order], close[order]
             if len(line):
                 own = np.searchsorted(first, line, "right") - 1
                 sure = close >= confirm

@@ -189,3 +189,14 @@ def test_main_text_keeps_what_names_and_links_do_not_make_furniture():
         assert html_text.main_text(page) == want
     linked = f"<p>{long}</p><p><a href=#>All of this line is a link</a></p><p>{long}</p><p><a href=#>Next</a></p>"
     assert html_text.main_text(f"<div><p><a href=#>Home</a></p>{linked}</div>") == f"{long} All of this line is a link {long}"
+
+
+def test_licences_over_lines_and_of_two_families(spark):
+    import textwrap
+
+    notices = {k: max(licences.TEMPLATES[k], key=len) for k in ("MIT", "GPL", "BSD", "ISC", "Apache-2.0")}
+    rows = [(i, "A story.\n\n" + "\n".join(f"# {x}" for x in textwrap.wrap(t, 72))) for i, t in enumerate(notices.values())]
+    rows += [(9, "Licensed under the Apache License, Version 2.0 or the MIT License."), (10, "word " * 300 + "\n" + "\n".join(["some more words of a story"] * 40))]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    got = sorted((r.doc_id, r.paragraph, r.family) for r in licences.scan(frame, licences.train([])).collect() if r.confirmed)
+    assert got == [*((i, 3, k) for i, k in enumerate(notices)), (9, 1, "Apache-2.0"), (9, 1, "MIT")]
