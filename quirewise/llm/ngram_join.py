@@ -1,11 +1,12 @@
-"""Operator 1: n-gram Jaccard join by a MinHash LSH forest, with exact verification.
+"""Operator 1: n-gram Jaccard join by MinHash LSH, with exact verification.
 
 Documents are sets of shingles of five words; those of resemblance 0.8 or more are linked.
 
 1. Equal texts are one node with a number of copies, so a group of copies costs one row from here on.
-2. A node has `trees` labels of `depth` MinHash components. The labels of a tree, sorted, are a prefix trie; nodes that
-   share a prefix are candidates. Prefixes start at the whole label and are shortened until the chance that a pair at
-   the threshold shares one in some tree reaches `recall`.
+2. A node has `trees` labels of `depth` MinHash components. Nodes that share a label's prefix are candidates. The prefixes
+   have one length for all, fixed before any data are seen: the longest at which a pair at the threshold shares one in some
+   tree with probability `recall`. So this is plain banding (16 bands of 4), which stands in for an LSH forest; components
+   beyond the prefix serve the estimate only.
 3. A prefix's nodes are dealt into blocks of about `block` nodes and each pair of blocks is a unit, so no task gets a whole
    hot prefix, and no pair is a row. In a unit a pair is looked at only if this is the first tree in which it meets, and
    goes on only if its share of equal components isn't 4.5 standard errors below the threshold. Nodes without such a pair
