@@ -6,7 +6,7 @@ columns of docs. run() writes each stage's result to the shared folder and reads
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirewise.llm import decontamination, kernels, languages, ngram_join, pieces, substrings
@@ -30,16 +30,23 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of linked rows: that with the least id (a null id counts as the least); all others stay."""
+    """Keeps one row of each group of linked rows: that with the least id (a null id counts as the least); all others stay.
+
+    Of equal rows (id and text) any one stays. Only keys are
+    ranked and grouped; texts move once, hashed by key, and are never sorted.
+    """
     rows = keyed(docs)
-    linked = kernels.written(ngram_join.join(rows, "_key").where("n_links > 0").select(F.col("_key").alias("_linked"), "class_id").distinct(), "linked")
-    ids = rows.select("_key", F.coalesce("doc_id", F.lit(ngram_join.LEAST_ID)).alias("_id")).distinct()
-    heads = linked.join(ids, F.col("_linked") == F.col("_key")).groupBy("class_id").agg(F.min(F.struct("_id", "_key")).alias("_least")).select(F.col("_least._key").alias("_head"))
-    marks = linked.join(heads, F.col("_linked") == F.col("_head"), "left").select("_linked", F.col("_head").isNotNull().alias("_first"))
-    kept = rows.join(marks, F.col("_key") == F.col("_linked"), "left").where("_first is null or _first")
-    # Already dealt by key, so this ranks equal rows without another shuffle.
-    order = Window.partitionBy("_key").orderBy("_key")
-    return kept.withColumn("_rank", F.row_number().over(order)).where("_first is null or _rank = 1").select(*docs.columns)
+    linked = kernels.written(ngram_join.join(rows, "_key").where("n_links > 0").select(F.col("_key").alias("_linked"), "class_id"), "linked")
+    ids = rows.select("_key", F.coalesce("doc_id", F.lit(ngram_join.LEAST_ID)).alias("_id"))
+    known = linked.groupBy("_linked", "class_id").agg(F.count("*").alias("_n"))
+    heads = known.join(ids, F.col("_linked") == F.col("_key")).groupBy("class_id").agg(F.min(F.struct("_id", "_key", "_n")).alias("_least"))
+    heads = kernels.written(heads.select(F.col("_least._key").alias("_head"), F.col("_least._n").alias("_n")), "heads")
+    # What goes from where it stands: all linked rows but heads that stand alone.
+    gone = known.join(heads.where("_n = 1"), F.col("_linked") == F.col("_head"), "left_anti").select("_linked")
+    kept = rows.join(gone.hint("shuffle_hash"), F.col("_key") == F.col("_linked"), "left_anti").select(*docs.columns)
+    # One of the equal rows of a head that has some: first() combines in each task before rows meet.
+    equal = rows.join(heads.where("_n > 1").hint("shuffle_hash"), F.col("_key") == F.col("_head"), "left_semi")
+    return kept.unionByName(equal.groupBy("_key").agg(F.first(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
