@@ -19,9 +19,9 @@ LEAST_COVER = 0.2
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those that no learned language covers."""
     filters = languages.learn(docs.where(~languages.held_out()))
-    held = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
-    kept = languages.identify(held, filters, text="_text").where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("lang_cover") >= LEAST_COVER))
-    return kept.select("_row.*")
+    held = docs.select(*(F.col(c).alias(f"_of_{c}") for c in docs.columns))  # names that identify() doesn't add
+    kept = languages.identify(held, filters, text="_of_text").where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("lang_cover") >= LEAST_COVER))
+    return kept.select(*(F.col(f"_of_{c}").alias(c) for c in docs.columns))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
