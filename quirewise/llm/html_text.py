@@ -1,25 +1,35 @@
 """Operator 9: main text of HTML pages by line-block distribution.
 
-Markup is stripped into lines, one for each block of the page. A line's weight is its number of characters outside links;
-lines in page furniture (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments,
-told by element, role, and class or id: by one word of a class outside of the marked parts, else by whole names) weigh nothing. The weights are summed over sliding windows of lines. Text surges where
-a sum reaches a threshold, and dives where the sum falls to zero; lines between a surge and its dive that aren't furniture
-are the text, those that are wholly links too. A line inside of an article or main part has its links counted and the threshold as extra weight. Where a page
-has such lines, windows end at the part's borders, and what stands between parts is text only if its largest sum is at
-least OUTSIDE of the page's largest. Nothing else is dropped, and no length is bounded. Each page is handled by itself: no
-shuffle, and a hot host or copied page has no effect.
+Markup is stripped into lines, one for each block of the page, in one linear pass of a tokenizer with HTML's states: a quote
+counts only where a value starts, a tag, comment or raw element that never ends takes the rest of the page, and an end tag
+finds its element by name. A line's weight is its number of characters outside of links. The weights are summed over sliding
+windows of lines; text surges where a sum reaches a threshold, and dives where the sum falls to zero. Lines between a surge
+and its dive that aren't furniture are the text, those that are wholly links too.
+
+* Furniture weighs nothing and is never text. Menus, footers, asides, scripts, what is hidden and the like are told by element
+  or role; page headers, forms and what a class or id names as a whole ("sidebar", "ad-box") are furniture unless they
+  hold most of the page's text; names of reader comments unless nothing else is there. What a heading calls comments ("12
+  Comments") is furniture from that heading on.
+* A name of which only one word tells furniture ("related-work") makes a line outside of a marked part weigh a quarter.
+* An article or main part is a mark, not a switch: its links weigh too, and a surge there takes less. Windows end at its
+  borders, and what stands outside is text where its largest window sum is OUTSIDE of the page's largest.
+
+Nothing else is dropped, and no length is bounded. Each page is handled by itself: no shuffle, and a hot host or copied page
+has no effect.
 
 Results in special cases: null or empty html, and pages of furniture alone, give the empty text; markup that never closes
-ends with its parent, and an article or main part ends furniture around it that has no end tag; one in furniture that has
-one is furniture, but for furniture told by class or id alone, which is taken for a frame of the page if such parts weigh
-more than all else; equal pages give equal texts.
+ends with its parent; furniture without an end tag ends where an article or main part starts; text without markup is one line;
+very long pages and malformed markup take time in proportion to their length; equal pages give equal texts; columns named
+text or n_chars are replaced.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,180 +41,301 @@ WINDOW = 3
 SURGE_SHARE, SURGE = 0.2, 80
 #: What stands outside of the marked parts takes this share of the page's largest window sum.
 OUTSIDE = 0.5
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|select|title)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S | re.I)
-NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|type)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-SPLIT = re.compile(r"[\s_\-:]+|(?<=[a-z])(?=[A-Z])")
-ROLE = re.compile(r"\brole\s*=", re.I)
+#: Share of the page's text from which on a name doesn't make furniture: of other names, and of reader comments.
+MOST, MOST_COMMENTS = 0.5, 0.9
+#: Weight of a line in an element of whose name one word tells furniture.
+SUSPECT = 0.25
+# A value is quoted only right after "="; of a quote without its partner there is no other, so the scan stays linear.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++|))*+)>""")
+ATTRIBUTE = re.compile(r"""([^\s/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|(?!["'])\S++|))?""")
+COMMENT_END = re.compile(r"--!?>")
+SPLIT = re.compile(r"[\s_\-:.]+|(?<=[a-z])(?=[A-Z])")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: HTML elements by what they are.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in "script style noscript textarea iframe title xmp noembed noframes".split()}
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-FURNITURE = frozenset("nav footer aside form button head menu dialog".split())
+SPACELESS = frozenset("img wbr input area base link meta param source track".split())
+FURNITURE = frozenset("nav footer aside button head menu dialog template svg math select".split())
+BY_SHARE = frozenset("form header".split())
 MAIN = frozenset("article main".split())
 WHOLE = frozenset("html body main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that end when one of the same kind starts beside them; a paragraph ends at any block.
+BESIDE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Words of a class or id that tell furniture, and words before them that take this back.
-FURNITURE_WORDS = frozenset("ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar sidebars menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar comment comments commentlist disqus respond reply replies social share sharing related recommended widget widgets login signup search".split())
-HEADER_WORDS = frozenset(("header",))
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond kommentare commentaires comentarios".split())
+FURNITURE_WORDS = COMMENT_WORDS | frozenset("ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar sidebars menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar social share sharing related recommended widget widgets login signup search header".split())
 #: Words that make a whole name of furniture with one of those; other words make a topic of it.
-BOX_WORDS = frozenset("area bar block box btn button buttons container content form group holder icons inner item items left links list main module outer panel post posts right section site slot top bottom unit wrap wrapper".split())
-#: Elements whose ids are slugs of what they say.
-TITLED = frozenset("h1 h2 h3 h4 h5 h6 p".split())
-COMMENT_WORDS = frozenset("comment comments commentlist reply".split())
+BOX_WORDS = frozenset("area bar block bottom box btn button buttons container content entry form global group holder icons inner item items left links list main module outer page panel post posts primary right secondary section site slot top unit wrap wrapper".split())
 TAKES_BACK = frozenset("no has with without".split())
-FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
+#: What headings call reader comments, without numbers and signs.
+COMMENT_TITLES = frozenset("comments|comment|reader comments|readers comments|user comments|leave a comment|leave a reply|post a comment|add a comment|join the discussion|kommentare|kommentar|leserkommentare|kommentar schreiben|commentaires|commentaire|laisser un commentaire|comentarios|comentario|deja un comentario|deja una respuesta".split("|"))
+
+
+def tokens(html: str) -> Iterator[tuple[str, str, str]]:
+    """("", text, ""), ("<", name, attributes) and ("/", name, "") of a page, in order."""
+    at, size = 0, len(html)
+    while at < size:
+        low = html.find("<", at)
+        if low < 0:
+            low = size
+        if low > at:
+            yield "", html[at:low], ""
+        if low == size:
+            return
+        after = html[low + 1 : low + 2]
+        if after.isascii() and after.isalpha() or after == "/" and html[low + 2 : low + 3].isascii() and html[low + 2 : low + 3].isalpha():
+            m = TAG.match(html, low)
+            if not m:  # a tag that never ends
+                return
+            at, name = m.end(), m[2].lower()
+            if m[1]:
+                yield "/", name, ""
+                continue
+            yield "<", name, m[3]
+            if name in RAW:
+                end = RAW[name].search(html, at)
+                if not end:
+                    return
+                at = end.start()
+        elif html.startswith("<!--", low):
+            if html.startswith((">", "->"), low + 4):
+                at = html.index(">", low) + 1
+                continue
+            end = COMMENT_END.search(html, low + 4)
+            if not end:
+                return
+            at = end.end()
+        elif after in ("!", "?", "/") and after:
+            at = html.find(">", low) + 1
+            if not at:
+                return
+        else:
+            yield "", "<", ""
+            at = low + 1
+
+
+@dataclass(slots=True)
+class Element:
+    name: str
+    parent: int
+    first: int  #: its first line
+    kind: int = 0  #: see kind_of
+    last: int = -1  #: the line after its last one
+    closed: bool = False  #: whether it has an end tag
+    plain: int = 0
+
+
+#: What a name or element says: nothing, partly furniture, furniture unless it holds most of the text, comments, furniture.
+PLAIN, SUSPECTED, NAMED, COMMENTS, SURE = range(5)
 
 
-def is_furniture(name: str, attributes: str, inside: bool) -> bool:
+def kind_of(name: str, attributes: str, inside: bool) -> int:
     """inside: whether an article or main part is open."""
-    if name in FURNITURE or name == "header" and not inside:
-        return True
-    if not attributes:
-        return False
-    for key, value in NAMES.findall(attributes):
-        key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+    kind = SURE if name in FURNITURE else NAMED if name == "form" or name == "header" and not inside else PLAIN
+    if not attributes or kind == SURE:
+        return kind
+    for m in ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and UNSEEN.search(value):
+            return SURE
         if key == "role" and value.lower() in FURNITURE_ROLES:
-            return True
-        if key == "class" and name not in WHOLE or key == "id" and name not in WHOLE and name not in TITLED:
-            for one in value.split():
+            return SURE
+        if key in ("class", "id") and name not in WHOLE and not (key == "id" and (name in HEADINGS or name == "p")):
+            for one in unescape(value).split():
                 words = {w.lower() for w in SPLIT.split(one) if w}
-                if words & TAKES_BACK or (inside or key == "id") and not words <= FURNITURE_WORDS | HEADER_WORDS | BOX_WORDS:
+                told = words & FURNITURE_WORDS
+                if not told or words & TAKES_BACK or told == {"header"} and inside:
                     continue
-                if words & (COMMENT_WORDS if name == "article" else FURNITURE_WORDS) or name != "article" and not inside and words & HEADER_WORDS:
-                    return True
-    return False
-
-
-def ended(html: str) -> set[int]:
-    """Where the tags start that have an end tag of their own."""
-    out: set[int] = set()
-    open_: list[tuple[str, int]] = []
-    for m in TOKEN.finditer(html):
-        name = (m[3] or "").lower()
-        if not name or name in INLINE or name in VOID:
-            continue
-        if not m[2]:
-            open_.append((name, m.start()))
-            continue
-        for k in range(len(open_) - 1, -1, -1):
-            if open_[k][0] == name:
-                out.add(open_[k][1])
-                del open_[k:]
-                break
-    return out
-
-
-def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, weight, whether inside of an article or main part, whether furniture) of each block of a page, in page order."""
-    lines, framed = _lines_of(html, False)
-    if framed:
-        other, _ = _lines_of(html, True)
-        if sum(w for _, w, inside, _ in other if inside) > 2 * sum(w for _, w, *_ in lines):
-            return other
-    return lines
-
-
-def _lines_of(html: str, frames: bool) -> tuple[list[tuple[str, int, bool, bool]], bool]:
-    """frames: whether an article or main part ends furniture told by class or id alone. Also whether there was any to end."""
-    raw: list[tuple[str, int, bool, bool]] = []  # text, characters in links, furniture, inside of an article
-    parts: list[str] = []
-    linked = 0
-    open_: list[tuple[str, bool, bool, int, bool]] = []  # name, whether it is furniture, whether it is a main part, where, whether told by class or id alone
-    framed, has_end = False, None
-    furniture = inside = link = 0
-
-    def end_line() -> None:
-        nonlocal linked
-        if parts:
-            text = " ".join(unescape("".join(parts)).split())
+                if words & COMMENT_WORDS:
+                    kind = max(kind, COMMENTS if words <= FURNITURE_WORDS | BOX_WORDS or key == "class" else SUSPECTED)
+                elif name not in MAIN:
+                    kind = max(kind, NAMED if words <= FURNITURE_WORDS | BOX_WORDS else SUSPECTED)
+    return kind
+
+
+class Page:
+    """Lines of a page and the elements that hold them; an element's lines are successive."""
+
+    def __init__(self, html: str):
+        self.texts: list[str] = []
+        self.plain: list[int] = []  # characters outside of links
+        self.owner: list[int] = []
+        self.elements = [Element("", -1, 0)]
+        self._parts: list[str] = []
+        self._linked = self._link = self._inside = 0
+        self._open = [0]
+        self._by_name: dict[str, list[int]] = {}  # places in _open
+        self._told: dict[str, int] = {}  # inline furniture that is open
+        for kind, what, attributes in tokens(html):
+            if not kind:
+                self._parts.append(what)
+                if self._link:
+                    self._linked += len(what)
+            elif kind == "<":
+                self._start(what, attributes)
+            else:
+                self._end(what)
+        self._line()
+        self._close(1)
+        self.elements[0].last = len(self.texts)
+
+    def _line(self) -> None:
+        if self._parts:
+            text = " ".join(unescape("".join(self._parts)).split())
             if text:
-                raw.append((text, linked, furniture > 0, inside > 0))
-            parts.clear()
-        linked = 0
-
-    def close(n: int) -> None:
-        nonlocal furniture, inside
-        for _, bad, main, *_ in open_[n:]:
-            furniture -= bad
-            inside -= main
-        del open_[n:]
-
-    at = 0
-    for m in TOKEN.finditer(html):
-        if m.start() > at:
-            parts.append(html[at : m.start()])
-            if link:
-                linked += m.start() - at
-        at = m.end()
-        name = m[3]
-        if not name:
-            continue
-        name = name.lower()
-        if name == "a":
-            link = 0 if m[2] else 1
-        if name in INLINE:
-            if not m[2] and name not in VOID and m[4] and is_furniture(name, m[4], inside > 0):
-                end_line()
-                open_.append((name, True, False, m.start(), True))
-                furniture += 1
-            elif m[2] and open_ and open_[-1][0] == name:
-                end_line()
-                close(len(open_) - 1)
-            continue
-        end_line()
+                self.texts.append(text)
+                self.plain.append(max(0, len(text) - self._linked))
+                self.owner.append(self._open[-1])
+            self._parts.clear()
+        self._linked = 0
+
+    def _close(self, place: int) -> None:
+        """Ends the open elements from this place on."""
+        for k in self._open[place:]:
+            e = self.elements[k]
+            e.last = len(self.texts)
+            self._by_name[e.name].pop()
+            self._inside -= e.name in MAIN
+            if e.name in INLINE:
+                self._told[e.name] -= 1
+        del self._open[place:]
+
+    def _push(self, name: str, kind: int) -> None:
+        self._by_name.setdefault(name, []).append(len(self._open))
+        self._open.append(len(self.elements))
+        self.elements.append(Element(name, self._open[-2], len(self.texts), kind))
+        self._inside += name in MAIN
+
+    def _start(self, name: str, attributes: str) -> None:
         if name in VOID:
-            continue
-        if m[2]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    close(k)
-                    break
-            continue
-        bad = is_furniture(name, m[4], inside > 0)
+            if name not in SPACELESS:
+                self._line()
+            return
+        if name in INLINE:
+            if name == "a":
+                self._link = 1
+            kind = kind_of(name, attributes, self._inside > 0) if attributes else PLAIN
+            if kind >= NAMED or self._told.get(name):  # nested ones are counted, so that the right end tag ends it
+                self._line()
+                self._push(name, kind)
+                self._told[name] = self._told.get(name, 0) + 1
+            return
+        self._line()
+        self._link = 0
+        top = self.elements[self._open[-1]].name
+        if top == "p":
+            self._close(len(self._open) - 1)
+            top = self.elements[self._open[-1]].name
+        while top in BESIDE.get(name, ()):
+            self._close(len(self._open) - 1)
+            top = self.elements[self._open[-1]].name
         if name == "body":
-            close(0)
-        elif name in MAIN and not bad and furniture:
-            if has_end is None:
-                has_end = ended(html)
-            framed |= all(o[4] for o in open_ if o[1] and o[3] in has_end)
-            over = [k for k, o in enumerate(open_) if o[1] and (o[3] not in has_end or frames and o[4])]
-            if over:
-                close(over[0])
-        main = name in MAIN and not bad
-        open_.append((name, bad, main, m.start(), bad and name not in FURNITURE and name != "header" and not ROLE.search(m[4])))
-        furniture += bad
-        inside += main
-    if at < len(html):
-        parts.append(html[at:])
-    end_line()
-    return [(text, 0 if f else len(text) if i else max(0, len(text) - links), i and not f, f) for text, links, f, i in raw], framed
+            self._close(1)
+        self._push(name, kind_of(name, attributes, self._inside > 0))
+
+    def _end(self, name: str) -> None:
+        if name == "a":
+            self._link = 0
+        if name in INLINE and not self._told.get(name):
+            return
+        self._line()
+        places = self._by_name.get(name)
+        if not places or name in VOID:
+            return
+        self.elements[self._open[places[-1]]].closed = True
+        self._close(places[-1])
+
+    def furniture(self) -> tuple[list[bool], list[bool], list[bool]]:
+        """Of each line whether it is furniture, stands in a marked part, and is suspected to be furniture."""
+        elements, n = self.elements, len(self.texts)
+        sums = [0, *accumulate(self.plain)]
+        held = lambda e: sums[e.last] - sums[e.first]
+        mains = [k for k, e in enumerate(elements) if e.name in MAIN and e.kind < NAMED]
+        bad, inside, suspect = ([0] * (n + 1) for _ in range(3))
+
+        def cover(steps: list[int], low: int, high: int) -> None:
+            if low < high:
+                steps[low] += 1
+                steps[high] -= 1
+
+        starts = [elements[k].first for k in mains]
+        main_at = 0
+        sure = [0] * (n + 1)
+        for k, e in enumerate(elements):  # in page order, so the next main part is found by one walk
+            while main_at < len(mains) and mains[main_at] <= k:
+                main_at += 1
+            if e.kind == SURE:
+                cut = not e.closed and main_at < len(mains) and starts[main_at] < e.last
+                cover(sure, e.first, starts[main_at] if cut else e.last)
+        gone = list(accumulate(sure[:n]))
+        left = [0, *accumulate(0 if g else p for g, p in zip(gone, self.plain))]
+        total = left[n]
+        for e in elements[1:]:
+            if e.kind in (NAMED, COMMENTS):
+                if left[e.last] - left[e.first] <= (MOST if e.kind == NAMED else MOST_COMMENTS) * total or not total:
+                    cover(bad, e.first, e.last)
+            elif e.kind == SUSPECTED:
+                cover(suspect, e.first, e.last)
+            if e.name in HEADINGS and e.name != "h1" and e.last == e.first + 1 and is_comment_title(self.texts[e.first]):
+                self._under_heading(e, lambda low, high: cover(bad, low, high))
+        for k in mains:
+            cover(inside, elements[k].first, elements[k].last)
+        bad = [a > 0 or b > 0 for a, b in zip(accumulate(bad[:n]), gone)]
+        inside = [x > 0 and not b for x, b in zip(accumulate(inside[:n]), bad)]
+        return bad, inside, [x > 0 for x in accumulate(suspect[:n])]
+
+    def _under_heading(self, heading: Element, cover) -> None:
+        """Lines from a heading to the end of what holds it, or to the next heading that ranks as high."""
+        parent = self.elements[heading.parent]
+        end = parent.last
+        for at in range(heading.first + 1, parent.last):
+            e = self.elements[self.owner[at]]
+            if e.name in HEADINGS and e.name <= heading.name:
+                end = at
+                break
+        cover(heading.first, end)
+
+
+def is_comment_title(text: str) -> bool:
+    return len(text) < 60 and " ".join(re.sub(r"[\W\d_]+", " ", text).casefold().split()) in COMMENT_TITLES
 
 
 def main_text(html: str | None, window: int = WINDOW) -> str:
-    lines = lines_of(html or "")
-    marked = any(inside for _, _, inside, _ in lines)
+    page = Page(html or "")
+    bad, inside, suspect = page.furniture()
+    marked = any(inside)
+    weights = [0 if b else len(t) if i else p * (SUSPECT if s else 1) for t, p, b, i, s in zip(page.texts, page.plain, bad, inside, suspect)]
     # Furniture goes with what stands around it, so it doesn't end a part.
-    runs: list[list[tuple[str, int, bool, bool]]] = []
-    for line in lines:
-        if runs and (not line[1] or not marked or line[2] == next((x[2] for x in reversed(runs[-1]) if x[1]), line[2])):
-            runs[-1].append(line)
+    runs: list[tuple[int, int]] = []
+    side = None
+    for at, w in enumerate(weights):
+        if not runs or marked and w and side is not None and inside[at] != side:
+            runs.append((at, at + 1))
         else:
-            runs.append([line])
-    sums = [[sum(w for _, w, *_ in run[i : i + window]) for i in range(len(run))] for run in runs]
-    largest = max((max(x) for x in sums), default=0)
+            runs[-1] = (runs[-1][0], at + 1)
+        if w:
+            side = inside[at]
+    sums: list[float] = []
+    for low, high in runs:
+        total = [0, *accumulate(weights[low:high])]
+        sums += [total[min(i + window, high - low)] - total[i] for i in range(high - low)]
+    largest = max(sums, default=0)
     surge = min(SURGE, SURGE_SHARE * largest)
     out = []
-    for run, totals in zip(runs, sums):
-        if not any(inside for _, _, inside, _ in run) and marked and max(totals) < OUTSIDE * largest:
+    for low, high in runs:
+        if marked and not any(inside[low:high]) and max(sums[low:high]) < OUTSIDE * largest:
             continue
         within = False
-        for (text, weight, inside, furniture), total in zip(run, totals):
+        for at in range(low, high):
             if not within:
-                within = weight > 0 and total + surge * inside >= surge
-            elif total == 0:
+                within = weights[at] > 0 and sums[at] + surge * inside[at] >= surge
+            elif sums[at] == 0:
                 within = False
-            if within and not furniture:
-                out.append(text)
+            if within and not bad[at]:
+                out.append(page.texts[at])
     return " ".join(out)
 
 

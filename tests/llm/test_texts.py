@@ -200,3 +200,34 @@ def test_licences_over_lines_and_of_two_families(spark):
     frame = spark.createDataFrame(rows, "doc_id int, text string")
     got = sorted((r.doc_id, r.paragraph, r.family) for r in licences.scan(frame, licences.train([])).collect() if r.confirmed)
     assert got == [*((i, 3, k) for i, k in enumerate(notices)), (9, 1, "Apache-2.0"), (9, 1, "MIT")]
+
+
+def test_main_text_of_odd_markup_and_names():
+    story = "".join(f"<p>Paragraph {k} of the body, long enough to be the text of this page by its weight alone.</p>" for k in range(4))
+    want = " ".join(f"Paragraph {k} of the body, long enough to be the text of this page by its weight alone." for k in range(4))
+    assert html_text.main_text("<p title=it's>Hello there</p><p>I don't <b>know</b> it.</p>") == "Hello there I don't know it."
+    assert html_text.main_text(f"<body><div class='main sidebar-right'>{story}</div></body>") == want
+    extra = "<div class='related-work'><p>Related things</p></div><div id='search-results'>Found</div>"
+    comments = "<section><h2>2 Comments</h2><p>A reader writes a comment that is long enough to look like text of the page.</p></section>"
+    assert html_text.main_text(f"<article>{story}{extra}{comments}</article>") == f"{want} Related things Found"
+    assert html_text.main_text(f"<div>{story}</div>{comments}") == want
+    assert html_text.main_text(f"<div>{story}</div><p class=ad>Buy<p>The end of it.") == f"{want} The end of it."
+    assert html_text.main_text(f"<form id=aspnet>{story}</form>") == want
+
+
+def test_main_text_windows_decide():
+    long = "A paragraph that is long enough to be the text of this page by its weight alone, and some more words."
+    page = f"<div>Site name</div><ul><li><a href=#>a</a><li><a href=#>b</a><li><a href=#>c</a></ul><div><p>{long}</p><p><a href=#>One link</a></p><p>{long}</p></div>"
+    assert html_text.main_text(page) == f"{long} One link {long}"
+    assert html_text.main_text(page, window=1) == f"{long} {long}"  # without windows a link line is a dive
+    marked = "<div><p>Made by us</p></div><article><h1>T</h1>" + f"<p>{long}</p>" * 3 + "</article><div>" + f"<p>{long}</p>" * 2 + "</div>"
+    assert html_text.main_text(marked) == " ".join(["T", *[long] * 5])  # long text outside of a mark counts, a short line doesn't
+
+
+@pytest.mark.parametrize("page", ["<a y " * 200_000, "<a b='x " * 100_000, "'\"" * 500_000, "<div></p>" * 50_000, "<p " + "/" * 1_000_000 + ">x", "<!--" + "<!-- x" * 150_000, "<a b=\">\" " * 100_000, "<h2>Comments</h2><p>x</p>" * 20_000, "<nav>a<article>b" * 20_000, "<" * 300_000])
+def test_malformed_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 4
