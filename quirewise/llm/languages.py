@@ -11,12 +11,14 @@ so at most 1 / min_rate for a language and n: only these reach the driver. Scori
 
 Results in special cases: `und` with score 0 for a null text or one without letters, and for every text if nothing could
 be learned; a text none of whose n-grams is known gets the language with most sampled n-grams, at score 0; of equal
-shares the first language by name; equal texts get equal results.
+shares the first language by name; equal texts get equal results; a long text is cut into parts where it has no letter, which
+changes no count, so memory is bounded by PART and the longest run of letters; columns named as those added are replaced.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,6 +41,20 @@ UNKNOWN = "und"
 PART = 1 << 20
 
 
+#: Some of what is no letter.
+NO_LETTER = re.compile(r"[\W\d_]")
+
+
+def cut(text: str) -> Iterator[str]:
+    """The text in parts of about PART characters, cut after what is no letter; a longer run of letters stays whole."""
+    low = 0
+    while len(text) - low > PART and (m := NO_LETTER.search(text, low + PART)):
+        yield text[low : m.end()]
+        low = m.end()
+    if low < len(text):
+        yield text[low:]
+
+
 @lru_cache(maxsize=1)
 def letter_codes() -> np.ndarray:
     """Code point -> its lower-case code point, or 32 if it is no letter."""
@@ -57,13 +73,28 @@ class Grams:
         self.sizes, self.codes = sizes, letter_codes()
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Text and hash of each n-gram. A long text is taken in overlapping parts of PART characters."""
-        plain, owner = [], []
+        """Text and hash of each n-gram."""
+        found = list(self.stretches(texts))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, U64)
+        return tuple(map(np.concatenate, zip(*found)))
+
+    def stretches(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Text and hash of each n-gram, for about PART characters at a time. A long text is cut where there is no letter:
+        all but the ends of an n-gram are letters, so none is lost or counted twice there."""
+        plain, owner, size = [], [], 0
         for i, text in enumerate(texts):
-            for low in range(0, len(text or ""), PART):
-                # Neighbours of a cut are seen from both sides; n-grams that would be counted twice are not made.
-                plain.append(text[max(0, low - 1) : low + PART + 1])
+            for part in cut(text or ""):
+                if plain and size + len(part) > PART:
+                    yield self._of(plain, owner)
+                    plain, owner, size = [], [], 0
+                plain.append(part)
                 owner.append(i)
+                size += len(part)
+        if plain:
+            yield self._of(plain, owner)
+
+    def _of(self, plain: list[str], owner: list[int]) -> tuple[np.ndarray, np.ndarray]:
         joined = "\x00".join(plain)
         x = self.codes[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
         lengths = np.fromiter(map(len, plain), np.int64, len(plain))
@@ -109,14 +140,15 @@ class LanguageFilters:
             out &= self.table[r]
         return out
 
-    def shares(self, owners: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def shares(self, grams: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
         """(texts, languages): corrected share of a text's n-grams that a language contains; n-grams of each text."""
-        masks = self.masks(hashes)
-        total = np.bincount(owners, minlength=n)
-        out = np.zeros((n, len(self.languages)))
-        for k in range(len(self.languages)):
-            bit = (masks[:, k // 64] >> U64(k % 64)) & U64(1)
-            out[:, k] = np.bincount(owners, weights=bit, minlength=n)
+        total, out = np.zeros(n), np.zeros((n, len(self.languages)))
+        for owners, hashes in grams:
+            masks = self.masks(hashes)
+            total += np.bincount(owners, minlength=n)
+            for k in range(len(self.languages)):
+                bit = (masks[:, k // 64] >> U64(k % 64)) & U64(1)
+                out[:, k] += np.bincount(owners, weights=bit, minlength=n)
         out /= np.maximum(total, 1)[:, None]
         return np.clip((out - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0, 1), total
 
@@ -180,9 +212,8 @@ def identify(docs: DataFrame, filters: LanguageFilters, text: str = "text", size
         for batch in kernels.rebatched(batches, text, most=1 << 20):
             n = len(batch)
             best, score, cover = np.full(n, len(labels) - 1), np.zeros(n), np.zeros(n)
-            own, hashes = grams.of(batch[text].to_pylist())
-            if model.languages and len(own):
-                shares, total = model.shares(own, hashes, n)
+            if model.languages:
+                shares, total = model.shares(grams.stretches(batch[text].to_pylist()), n)
                 top = shares.argmax(1)
                 cover = shares[np.arange(n), top]
                 score = np.divide(cover, shares.sum(1), out=np.zeros(n), where=cover > 0)
