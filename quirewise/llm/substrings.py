@@ -19,7 +19,7 @@ document in step 3; documents move once, hashed by id (both joins use the same e
 
 Results in special cases: null and empty texts have no words; texts shorter than a window lose nothing; a null id counts
 as the least one; rows with equal id and text are one place, and don't remove each other, while their repeats elsewhere
-go in each of them; rows with equal id and other texts are told apart by 15 bits of a hash of the text, and the same start in both
+go in each of them; rows with equal id and other texts are told apart by a 64-bit hash of the text, and the same start in both
 is no earlier place.
 """
 
@@ -216,7 +216,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     anchors = anchors.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where((F.col("kind") == 1) | ((F.col("kind") == 0) & (F.col("n") > 1)))
     lists = anchors.groupBy("doc").agg(F.collect_list(F.when(F.col("kind") == 1, F.col("anchor")).otherwise(F.col("key"))).alias("anchors")).withColumnRenamed("doc", "_doc")
     marked = rows.join(lists, F.col("doc") == F.col("_doc")).select("doc", "text_hash", "text", "anchors")
-    found = marked.mapInArrow(factor_blocks(window, seed), "one long, two int, doc long, text_hash short, start int, length int")
+    found = marked.mapInArrow(factor_blocks(window, seed), "one long, two int, doc long, text_hash long, start int, length int")
     places = Window.partitionBy("one", "two").orderBy("doc", "start")
     found = found.withColumn("first_doc", F.first("doc").over(places)).withColumn("first_start", F.first("start").over(places))
     later = (F.col("doc") > F.col("first_doc")) | ((F.col("doc") == F.col("first_doc")) & (F.col("start") > F.col("first_start")))
@@ -230,7 +230,7 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     where nothing goes, else the kept words joined by one space) and those columns of docs."""
     carried = [F.col(c).alias(f"_of_{c}") for c in keep or ()]
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LEAST_ID)).alias("doc"), F.pmod(F.xxhash64(body), F.lit(1 << 15)).cast("short").alias("text_hash"), body.alias("text"), *carried)
+    rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(LEAST_ID)).alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"), *carried)
     spans = repeated_spans(rows.select("doc", "text_hash", "text") if carried else rows, window, seed)
     joined = rows.join(spans, F.col("doc") == F.col("_doc"), "left").drop("_doc")
     schema = "doc long, n_words long, n_removed long, kept_sha256 string"
