@@ -136,8 +136,11 @@ class ItemIndex:
         many = np.maximum(high - low + 1, 0)
         start = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         size = np.repeat(n, many)
-        key = np.unique(start * np.int64(1 << 24) + np.minimum(size, (1 << 24) - 1))
-        start, size = key >> 24, key & ((1 << 24) - 1)
+        order = np.lexsort((size, start))
+        start, size = start[order], size[order]
+        new = np.ones(len(start), bool)
+        new[1:] = (start[1:] != start[:-1]) | (size[1:] != size[:-1])
+        start, size = start[new], size[new]
         first = np.searchsorted(at, start)
         last = first + size - self.size + 1
         window, found = self.candidates(simhash(hashes, first, last))
