@@ -251,7 +251,7 @@ def train(negatives: list[str], bits: int = BITS, seed: int = 6) -> LicenceModel
     rng = np.random.default_rng(seed)
     features = ParagraphFeatures(bits)
     families = [*TEMPLATES, UNKNOWN]
-    pool = [w for t in negatives for w in t.split()[:40]][:20_000] or ["and", "of", "in"]
+    pool = [w for t in negatives for w in t.split()] or ["and", "of", "in"]
     texts, labels = [], []
     for k, family in enumerate(TEMPLATES):
         for template in TEMPLATES[family]:
@@ -259,12 +259,12 @@ def train(negatives: list[str], bits: int = BITS, seed: int = 6) -> LicenceModel
             for v in range(VARIANTS):
                 lost = 0 if v % 3 == 0 else 0.12 if len(words) > 8 else 0
                 kept = [w for w in words if rng.random() >= lost]
-                around = [list(rng.choice(pool, int(rng.integers(0, 12)))) if v % 2 else [] for _ in range(2)]
+                around = [[pool[i] for i in rng.integers(0, len(pool), int(rng.integers(0, 12)))] if v % 2 else [] for _ in range(2)]
                 texts.append(" ".join([*around[0], *kept, *around[1]]))
                 labels.append(k)
     # What shares words with notices and is none: single words of notices among others.
     notice_words = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
-    mixes = [" ".join([*rng.choice(pool, int(rng.integers(3, 20))), *rng.choice(notice_words, int(rng.integers(1, 4)))]) for _ in range(len(texts))]
+    mixes = [" ".join([*(pool[i] for i in rng.integers(0, len(pool), int(rng.integers(3, 20)))), *rng.choice(notice_words, int(rng.integers(1, 4)))]) for _ in range(len(texts))]
     for t in [*negatives, *mixes]:
         texts.append(t)
         labels.append(len(families) - 1)

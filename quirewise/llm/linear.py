@@ -7,10 +7,6 @@ from dataclasses import dataclass
 import numpy as np
 
 
-#: Cells of a feature matrix that may be held in full.
-DENSE = 24_000_000
-
-
 @dataclass
 class Sparse:
     """Rows of 0/1 features: entry k says that row[k] has column col[k]."""
@@ -23,8 +19,23 @@ class Sparse:
         """(n, classes) of a (columns, classes) weight matrix."""
         return np.stack([np.bincount(self.row, weights=w[self.col, c], minlength=self.n) for c in range(w.shape[1])], axis=1)
 
-    def transposed_times(self, r: np.ndarray, columns: int) -> np.ndarray:
-        return np.stack([np.bincount(self.col, weights=r[self.row, c], minlength=columns) for c in range(r.shape[1])], axis=1)
+    def matrix(self, columns: int):
+        """Functions that multiply by the matrix and by its transpose, by sums over its entries in either order."""
+        by_row, by_col = np.argsort(self.row, kind="stable"), np.argsort(self.col, kind="stable")
+
+        def product(order: np.ndarray, out: np.ndarray, of: np.ndarray, n: int):
+            out, of = out[order], of[order]
+            first = np.flatnonzero(np.diff(out, prepend=-1))
+
+            def times(w: np.ndarray) -> np.ndarray:
+                got = np.zeros((n, w.shape[1]))
+                if len(first):
+                    got[out[first]] = np.add.reduceat(w[of], first, axis=0)
+                return got
+
+            return times
+
+        return product(by_row, self.row, self.col, self.n), product(by_col, self.col, self.row, columns)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -42,16 +53,11 @@ def fit(x: Sparse, y: np.ndarray, weight: np.ndarray, columns: int, l2: float, p
     penalty(w) -> gradient of a further term.
     """
     w, b = np.zeros((columns, y.shape[1])), np.zeros(y.shape[1])
-    if x.n * columns <= DENSE:  # then a product of matrices is faster
-        dense = np.zeros((x.n, columns), np.float32)
-        dense[x.row, x.col] = 1
-        times, back = lambda w: dense @ w.astype(np.float32), lambda r: dense.T @ r.astype(np.float32)
-    else:
-        times, back = x.times, lambda r: x.transposed_times(r, columns)
+    forth, back = x.matrix(columns)
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
     share = weight[:, None] / max(weight.sum(), 1e-9)
     for t in range(1, steps + 1):
-        z = times(w) + b
+        z = forth(w) + b
         r = ((sigmoid(z) if y.shape[1] == 1 else softmax(z)) - y) * share
         grads = [back(r) + l2 * w, r.sum(0)]
         if penalty is not None:
