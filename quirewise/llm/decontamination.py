@@ -5,8 +5,9 @@ over sum of the largest weights; a shingle weighs as often as it occurs) is 0.8
 
 1. A window that shares no shingle with an item has resemblance 0. So windows are taken, at each item's own number of
    words, wherever a document has a shingle of that item; a document shorter than the item is one window.
-2. Windows and items have 64-bit SimHash fingerprints. A multi-index of 8 blocks of 8 bits returns the items one of whose
-   blocks is within 2 bits of the window's: by the pigeonhole principle all items within radius 23. At resemblance 0.8
+2. Windows and items have 64-bit SimHash fingerprints. A multi-index has a bucket of items for each of 8 blocks of 8 bits and
+   each value; a window probes the buckets within 2 bits of its blocks: by the pigeonhole principle these hold all items
+   within radius 23. Only these are candidates. At resemblance 0.8
    the expected distance is below 10 bits, its standard error below 3.
 3. Items within the radius are verified with the exact weights. Of matches of an item that overlap, the best stay.
 
@@ -14,13 +15,13 @@ The items are sent to all executors only in parts of at most `part_items` items
 the documents for each part, so what is broadcast is bounded whatever the benchmark's size.
 
 Results in special cases: null or empty texts and items match nothing; an item of 1 to 4 words is one shingle and matches
-where just these words stand; repeated rows and items each match by themselves; of equally good windows the first.
+where just these words stand; repeated rows and items each match by themselves; of equally good windows the first; very long
+texts and items are read whole, and a text longer than a batch is one; empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import bisect
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,25 +90,39 @@ class ItemIndex:
         low = np.searchsorted(at, words.bounds[long])
         self.prints = np.zeros((len(ids), 8), np.uint8)
         self.prints[long] = simhash(hashes, low, low + self.n_words[long] - size + 1)
-        near = BITS[np.arange(256)[:, None, None] ^ self.prints[None, :, :]] <= radius // BLOCKS  # (value, item, block)
-        self.near = np.ascontiguousarray(near.transpose(2, 0, 1))
+        #: Multi-index: (block, value) -> items, as one sorted list; a probe asks for the values within radius // BLOCKS bits.
+        block = np.tile(np.arange(BLOCKS), len(long))
+        slot = block * 256 + self.prints[long].ravel()
+        order = np.argsort(slot, kind="stable")
+        self.bucket = np.searchsorted(slot[order], np.arange(BLOCKS * 256 + 1))
+        self.bucket_items = np.repeat(long, BLOCKS)[order]
+        self.flips = np.flatnonzero(BITS <= radius // BLOCKS)
         #: Items shorter than a shingle: their number of words and hash.
         self.short = {int(n): np.flatnonzero(self.n_words == n) for n in np.unique(self.n_words) if 0 < n < size}
         self.short_hash = {n: kernels.ranged(words.hashes, words.bounds[i], words.bounds[i + 1], kernels.WORD_BASE) for n, i in self.short.items()}
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) of all items within the radius of each window's fingerprint."""
-        windows, items = [], []
-        step = max(16, (1 << 22) // max(1, len(self.ids)))
+        """(window, item) of all items within the radius of each window's fingerprint, from the buckets of the multi-index.
+
+        Windows of one value of a block ask its buckets together, and pairs are checked as they come, some at a time.
+        """
         whole = np.ascontiguousarray(self.prints).view(U64).ravel()
-        for at in range(0, len(prints), step):
-            some = prints[at : at + step]
-            hits = functools.reduce(np.bitwise_or, (self.near[b][some[:, b]] for b in range(BLOCKS)))
-            w, i = np.nonzero(hits)
-            close = np.bitwise_count(np.ascontiguousarray(some).view(U64).ravel()[w] ^ whole[i]) <= self.radius
-            windows.append(w[close] + at)
-            items.append(i[close])
-        return (np.concatenate(windows), np.concatenate(items)) if windows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        mine = np.ascontiguousarray(prints).view(U64).ravel()
+        found = [np.zeros(0, np.int64)]
+        for b in range(BLOCKS):
+            order = np.argsort(prints[:, b], kind="stable")
+            bounds = np.searchsorted(prints[order, b], np.arange(257))
+            for value in np.flatnonzero(np.diff(bounds)).tolist():
+                slots = b * 256 + (value ^ self.flips)
+                items = np.concatenate([self.bucket_items[self.bucket[x] : self.bucket[x + 1]] for x in slots.tolist()])
+                windows = order[bounds[value] : bounds[value + 1]]
+                step = max(1, (1 << 20) // max(1, len(items)))
+                for low in range(0, len(windows), step):
+                    some = windows[low : low + step]
+                    w, i = np.nonzero(np.bitwise_count(mine[some][:, None] ^ whole[items][None, :]) <= self.radius)
+                    found.append(some[w] * np.int64(len(whole)) + items[i])
+        pairs = np.unique(np.concatenate(found))
+        return pairs // max(1, len(whole)), pairs % max(1, len(whole))
 
     def matches(self, words: kernels.Words) -> list[tuple[int, int, int, int, float]]:
         """(text, item, first word within the text, number of words, resemblance)."""

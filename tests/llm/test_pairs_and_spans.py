@@ -188,3 +188,16 @@ def test_fingerprints_special_cases(spark):
     assert fingerprints.fingerprint(frame.where("false")).collect() == []
     lone = fingerprints.fingerprint(spark.createDataFrame([(1, "xy")], "doc_id long, text string")).first()
     assert lone.near_next == 1.0 and lone.edited_sha256 == digest("xx")
+
+
+def test_the_radius_of_the_index_decides_candidates():
+    import numpy as np
+    import pyarrow as pa
+
+    from quirewise.llm import kernels
+
+    rng = random.Random(8)
+    items = [[f"i{rng.randrange(500)}" for _ in range(60)] for _ in range(40)]
+    texts = [" ".join(["before", *w[:20], "edit", *w[21:], "after"]) for w in items]
+    found = lambda radius: {m[:2] for m in decontamination.ItemIndex(np.arange(40), pa.array([" ".join(w) for w in items]), radius=radius).matches(kernels.Words(pa.array(texts)))}
+    assert found(decontamination.RADIUS) == {(k, k) for k in range(40)} and len(found(0)) < 20
