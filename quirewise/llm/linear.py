@@ -50,7 +50,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 def fit(x: Sparse, y: np.ndarray, weight: np.ndarray, columns: int, l2: float, penalty=None, steps: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights (columns, classes) and intercepts; y: (n, classes), one column for a logistic model, else softmax.
 
-    penalty(w) -> gradient of a further term.
+    penalty(w, b) -> gradients of a further term.
     """
     w, b = np.zeros((columns, y.shape[1])), np.zeros(y.shape[1])
     forth, back = x.matrix(columns)
@@ -61,7 +61,7 @@ def fit(x: Sparse, y: np.ndarray, weight: np.ndarray, columns: int, l2: float, p
         r = ((sigmoid(z) if y.shape[1] == 1 else softmax(z)) - y) * share
         grads = [back(r) + l2 * w, r.sum(0)]
         if penalty is not None:
-            grads[0] += penalty(w)
+            grads = [g + more for g, more in zip(grads, penalty(w, b))]
         for k, (value, g) in enumerate(((w, grads[0]), (b, grads[1]))):
             m, v = moments[2 * k], moments[2 * k + 1]
             m += 0.1 * (g - m)

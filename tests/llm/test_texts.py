@@ -3,6 +3,7 @@
 import hashlib
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,11 @@ def test_toxicity_of_identity_terms_and_special_cases(spark):
     model = toxicity.learn(labels, docs)
     got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     assert got[0] > 0.7 and got[902] < 0.5 and got[903] < 0.5 and got[900] == got[901]
+    # Swapped copies of the labelled texts: without their penalty the score hangs on the term.
+    gap = lambda m: max(abs(a - b) for a, b in zip(*(m.scores(pa.array(t)) for t in (["stupid women talk", "muslim people"], ["stupid girls talk", "hindu people"]))))
+    free = toxicity.learn(labels, docs, strength=0.0)
+    assert gap(model) < 0.5 * gap(free) and gap(free) > 0.02, (gap(model), gap(free))
+    assert toxicity.swapped("The Gay and muslim_x, women!") == ["the lesbian and christian_x, men!", "the straight and jewish_x, girls!"] and toxicity.swapped("womens") == []
     one = toxicity.learn(labels.where("toxic = 0"), docs)
     assert {r.predicted for r in toxicity.score(docs, one).collect()} == {0}
     assert toxicity.score(docs.where("false"), toxicity.learn(labels.where("false"), docs)).collect() == []
