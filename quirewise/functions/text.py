@@ -81,12 +81,14 @@ def _tidied(s: Column) -> Column:
 
 
 def normalize(s: Column) -> Column:
-    """T1."""
-    return tidy(nfkc(s))
+    """T1. Plain ASCII is its own NFKC, so such text isn't sent to Python."""
+    other = s.rlike(r"[^\x00-\x7f]")
+    return tidy(F.when(other, nfkc(F.when(other, s))).otherwise(s))
 
 
 def normalize_lines(lines: Column) -> Column:
-    return F.transform(nfkc_lines(lines), tidy)
+    other = F.exists(lines, lambda l: l.rlike(r"[^\x00-\x7f]"))
+    return F.transform(F.when(other, nfkc_lines(F.when(other, lines))).otherwise(lines), tidy)
 
 
 def is_split_token(left: Column, right: Column) -> Column:

@@ -77,18 +77,21 @@ def extract_json(answer: Column) -> Column:
 
 def run_chunks(chunks: DataFrame, cache: DataFrame, provider: Callable[[list[str], int], str | None], parallel: int = 4) -> tuple[DataFrame, DataFrame]:
     """L4: (answers, failures). Chunks whose key is in cache(key, edits) aren't asked for again; provider(lines, offset)
-    gives an answer or None. answers: key, chunk_idx, edits; only they may go into the cache."""
-    hits = chunks.join(cache.select("key", "edits"), "key").select("key", "chunk_idx", "edits")
-    missing = chunks.join(cache.select("key"), "key", "left_anti").select("key", "chunk_idx", "offset", "lines").repartition(parallel)
+    gives an answer or None. Equal chunks, of whatever book, are asked for once and have one answer. answers: key, edits,
+    a row a key; only they may go into the cache. failures: the keys without an answer."""
+    known = cache.groupBy("key").agg(F.first("edits").alias("edits"))
+    each = chunks.select("key", "offset", "lines").dropDuplicates(["key"])
+    hits = known.join(each.select("key"), "key", "left_semi")
+    missing = each.join(cache.select("key"), "key", "left_anti").repartition(parallel)
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             f["answer"] = [provider(list(lines), int(offset)) for lines, offset in zip(f["lines"], f["offset"])]
-            yield f[["key", "chunk_idx", "answer"]]
+            yield f[["key", "answer"]]
 
-    asked = missing.mapInPandas(ask, "key string, chunk_idx int, answer string")
-    good = asked.where("answer is not null").select("key", "chunk_idx", extract_json(F.col("answer")).alias("edits"))
-    return hits.unionByName(good), asked.where("answer is null").select("key", "chunk_idx")
+    asked = missing.mapInPandas(ask, "key string, answer string")
+    good = asked.where("answer is not null").select("key", extract_json(F.col("answer")).alias("edits"))
+    return hits.unionByName(good), asked.where("answer is null").select("key")
 
 
 def sanitize(s: Column) -> Column:
@@ -178,7 +181,8 @@ def proofread(blocks: DataFrame, ranges: DataFrame, cache: DataFrame, provider,
     lines = flat_lines(blocks, ranges)
     chunks = chunk_lines(lines, keys, max_chars, max_lines).withColumn("key", chunk_key(F.lit(model), F.lit(context), F.col("offset"), F.col("lines")))
     answers, failures = run_chunks(chunks, cache, provider)
-    edits = chunks.select(*keys, "key", "chunk_idx").join(answers.drop("chunk_idx"), "key").select(*keys, "chunk_idx", F.posexplode("edits").alias("_i", "e"))
+    failures = chunks.select(*keys, "chunk_idx", "key").join(failures, "key", "left_semi")
+    edits = chunks.select(*keys, "key", "chunk_idx").join(answers, "key").select(*keys, "chunk_idx", F.posexplode("edits").alias("_i", "e"))
     n = F.row_number().over(Window.partitionBy(*keys).orderBy("chunk_idx", "_i"))
     edits = edits.select(*keys, n.alias("ord"), F.col("e.line").alias("line_no"), "e.before", "e.after", "e.why")
     _, log = apply_edits(lines.drop("page"), edits, keys)

@@ -42,31 +42,42 @@ def heading(lines: Column, level: Column, id_: Column, vertical: bool = True) ->
 
 
 def cell_texts(tables: DataFrame, keys: list[str]) -> DataFrame:
-    """Cells of tables with spans of 1 where none are given, and their text as one normalized line."""
+    """Cells of tables, a row each, and their text as one normalized line; of cells at one place the last."""
     c = tables.select(*keys, F.posexplode("cells").alias("_i", "c"))
     text = X.join_lines(F.split(F.coalesce("c.contents", F.lit("")), "\n", -1))
-    span = lambda n: F.greatest(F.coalesce(F.col(n), F.lit(1)), F.lit(1))
-    c = c.select(*keys, "_i", "c.row", "c.col", span("c.row_span").alias("rs"), span("c.col_span").alias("cs"), X.normalize(text).alias("cell_text"))
+    c = c.select(*keys, "_i", "c.row", "c.col", X.normalize(text).alias("cell_text"))
     last = F.row_number().over(Window.partitionBy(*keys, "row", "col").orderBy(F.desc("_i")))
     return c.withColumn("_k", last).where("_k = 1").drop("_k")
 
 
+def table_html(cells: Column, n_row: Column, n_col: Column) -> Column:
+    """R2: a table's grid, built within its row. Of cells at one place the last counts; places under a span are left out."""
+    span = lambda n: F.greatest(F.coalesce(n, F.lit(1)), F.lit(1))
+    texts = X.normalize_lines(F.transform(cells, lambda c: X.join_lines(F.split(F.coalesce(c["contents"], F.lit("")), "\n", -1))))
+    full = F.transform(F.arrays_zip(cells.alias("c"), texts.alias("t")), lambda x: F.struct(x["c"]["row"].alias("row"), x["c"]["col"].alias("col"), span(x["c"]["row_span"]).alias("rs"), span(x["c"]["col_span"]).alias("cs"), x["t"].alias("t")))
+    ones = lambda n: F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    told = lambda name, n: F.when(n > 1, lit(f' {name}="', n.cast("string"), '"')).otherwise("")
+    td = lambda c: lit("<td", told("rowspan", c["rs"]), told("colspan", c["cs"]), ">", X.render_inline(c["t"], False), "</td>")
+
+    def grid(every: Column) -> Column:
+        wide = F.filter(every, lambda c: (c["rs"] > 1) | (c["cs"] > 1))
+
+        def line(r: Column) -> Column:
+            mine, over = F.filter(every, lambda c: c["row"] == r), F.filter(wide, lambda c: r.between(c["row"], c["row"] + c["rs"] - 1))
+            under = lambda k: F.exists(over, lambda c: k.between(c["col"], c["col"] + c["cs"] - 1) & ((r != c["row"]) | (k != c["col"])))
+            shown = F.filter(ones(n_col), lambda k: ~under(k))
+            one = lambda k: F.coalesce(F.get(F.reverse(F.transform(F.filter(mine, lambda c: c["col"] == k), td)), F.lit(0)), F.lit("<td></td>"))
+            return lit("<tr>", F.array_join(F.transform(shown, one), ""), "</tr>")
+
+        return F.array_join(F.transform(ones(n_row), line), "\n")
+
+    return lit('<table class="h-table">\n', X.let(full, grid), "\n</table>")
+
+
 def tables_html(tables: DataFrame, keys: list[str]) -> DataFrame:
-    """R2: (keys, html). The grid of places is joined with its cells; places under a span are left out."""
-    places = tables.select(*keys, "n_row", "n_col").where("n_row > 0 and n_col > 0")
-    places = places.withColumn("row", F.explode(F.sequence(F.lit(1), "n_row"))).withColumn("col", F.explode(F.sequence(F.lit(1), "n_col"))).drop("n_row", "n_col")
-    cells = cell_texts(tables, keys)
-    covered = cells.where("rs > 1 or cs > 1").select(*keys, F.col("row").alias("r"), F.col("col").alias("c"), F.explode(F.sequence("row", F.col("row") + F.col("rs") - 1)).alias("row"), "cs")
-    covered = covered.select(*keys, "row", "r", "c", F.explode(F.sequence("c", F.col("c") + F.col("cs") - 1)).alias("col")).where("row <> r or col <> c").select(*keys, "row", "col").distinct()
-    grid = places.join(covered, [*keys, "row", "col"], "left_anti").join(cells, [*keys, "row", "col"], "left")
-    span = lambda name, n: F.when(F.col(n) > 1, lit(f' {name}="', F.col(n).cast("string"), '"')).otherwise("")
-    td = lit("<td", span("rowspan", "rs"), span("colspan", "cs"), ">", X.render_inline(F.col("cell_text"), False), "</td>")
-    grid = grid.withColumn("td", F.when(F.col("cell_text").isNull(), "<td></td>").otherwise(td))
-    ordered = lambda k, v: F.transform(F.array_sort(F.collect_list(F.struct(k, v))), lambda s: s[v])
-    rows = places.groupBy(*keys, "row").count().join(grid.groupBy(*keys, "row").agg(ordered("col", "td").alias("tds")), [*keys, "row"], "left")
-    rows = rows.withColumn("tr", lit("<tr>", F.array_join(F.coalesce("tds", F.array().cast("array<string>")), ""), "</tr>"))
-    body = rows.groupBy(*keys).agg(F.array_join(ordered("row", "tr"), "\n").alias("body"))
-    return tables.select(*keys).join(body, keys, "left").select(*keys, lit('<table class="h-table">\n', F.coalesce("body", F.lit("")), "\n</table>").alias("html"))
+    """R2: (keys, html) of tables(keys, n_row, n_col, cells), without a shuffle."""
+    cells = F.coalesce(F.col("cells"), F.array().cast(tables.schema["cells"].dataType))
+    return tables.select(*keys, F.coalesce("n_row", F.lit(0)).alias("n_row"), F.coalesce("n_col", F.lit(0)).alias("n_col"), cells.alias("cells")).select(*keys, table_html(F.col("cells"), F.col("n_row"), F.col("n_col")).alias("html"))
 
 
 def figure(src: Column, alt: Column) -> Column:

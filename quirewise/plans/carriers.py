@@ -326,6 +326,24 @@ def chapter_plan_rejects(spark, sf_dir):
     return longs(contents.chapter_plan(*_toc(spark, sf_dir))[1].select("book_id", "ord", "reason"))
 
 
+FALLING = "(SELECT doc_id // 6 AS book_id, doc_id AS ord, doc_id % 6 * 9 + 1 + length(text) % 23 AS page_num FROM documents WHERE text IS NOT NULL)"
+
+
+@query(
+    f"""WITH e AS (SELECT *, lag(page_num) OVER (PARTITION BY book_id ORDER BY ord) AS p, lead(page_num) OVER (PARTITION BY book_id ORDER BY ord) AS nx FROM {FALLING}), r AS (SELECT *, coalesce(page_num <= p, false) AS falls, bool_or(coalesce(page_num <= p, false)) OVER (PARTITION BY book_id) AS refused, least(coalesce(nx - 1, 60), 60) AS en FROM e)
+    SELECT book_id::VARCHAR AS book_id, ord, CASE WHEN falls THEN 'order' WHEN page_num <= 60 AND page_num <= en THEN '' ELSE 'range' END AS reason FROM r WHERE falls OR NOT refused"""
+)
+def chapter_plan_refused(spark, sf_dir):
+    """Books of six entries, of which some have page numbers that don't rise: these have no plan."""
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    book = F.floor(F.col("doc_id") / 6).cast("string").alias("book_id")
+    number = (F.col("doc_id") % 6 * 9 + 1 + F.length("text") % 23).cast("int").alias("page_num")
+    toc = docs.select(book, F.col("doc_id").alias("ord"), F.lit("大").alias("level"), F.lit("t").alias("title"), number, F.lit(False).alias("is_roman"))
+    books = toc.select("book_id").distinct()
+    plan, rejects = contents.chapter_plan(toc, books.withColumn("offset", F.lit(0)), books.withColumn("n_pages", F.lit(60)))
+    return longs(plan.select("book_id", "ord", F.lit("").alias("reason")).unionByName(rejects.select("book_id", "ord", "reason")))
+
+
 UNCOVERED = f"(SELECT n.book_id, p AS page FROM (SELECT book_id, unnest(range(1, n_pages + 1)) AS p FROM {N_PAGES}) n WHERE p <> 2 AND NOT EXISTS (SELECT 1 FROM {PLAN} c WHERE c.book_id = n.book_id AND c.s BETWEEN 1 AND n_pages AND c.s <= c.e AND p BETWEEN c.s AND c.e))"
 
 

@@ -107,6 +107,7 @@ def offset(toc: DataFrame, pages: DataFrame, contents: DataFrame, n_pages: DataF
 
 def chapter_plan(toc: DataFrame, offsets: DataFrame, n_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(plan, rejects). Rejects have a reason: `order` (page numbers that don't rise) or `range` (left out of the plan).
+    A book with an `order` reject is refused: it has no plan, and only those rejects.
 
     toc: book_id, ord, level, title, page_num, is_roman; offsets: book_id, offset; n_pages: book_id, n_pages.
     """
@@ -116,9 +117,11 @@ def chapter_plan(toc: DataFrame, offsets: DataFrame, n_pages: DataFrame) -> tupl
     e = e.withColumn("start", F.col("page_num") + F.col("offset"))
     e = e.withColumn("end", F.least(F.coalesce(F.col("_next") + F.col("offset") - 1, F.col("n_pages")), F.col("n_pages")))
     fits = "start between 1 and n_pages and start <= end"
-    reason = F.when(F.col("page_num") <= F.col("_prev"), "order").when(~F.expr(fits), "range")
+    falls = F.coalesce(F.col("page_num") <= F.col("_prev"), F.lit(False))
+    e = e.withColumn("_falls", falls).withColumn("_refused", F.max("_falls").over(Window.partitionBy("book_id")))
+    reason = F.when(F.col("_falls"), "order").when(~F.col("_refused") & ~F.expr(fits), "range")
     rejects = e.withColumn("reason", reason).where("reason is not null").select("book_id", "ord", "title", "page_num", "start", "end", "reason")
-    return e.where(fits).select("book_id", "ord", "title", "level", "start", "end"), rejects
+    return e.where(~F.col("_refused") & F.expr(fits)).select("book_id", "ord", "title", "level", "start", "end"), rejects
 
 
 def uncovered_pages(plan: DataFrame, n_pages: DataFrame, leave_out: DataFrame) -> DataFrame:

@@ -83,3 +83,22 @@ def test_proofread_with_cache_and_failures(spark):
     cache = spark.createDataFrame([(failed[0].key, [(3, "木", "本", "w")])], f"key string, edits {L.EDITS}")
     fixes, failures = L.proofread(blocks, ranges, cache, provider, "m", "", max_lines=2)
     assert sorted((r.page, r.after) for r in fixes.collect()) == [(3, "傑出"), (4, "本")] and failures.count() == 0
+
+
+def test_equal_chunks_of_two_books_are_asked_for_once(spark, tmp_path):
+    schema = "book_id string, seq int, kind string, lines array<string>, text string, page int, pages array<int>"
+    blocks = spark.createDataFrame([(b, 1, "para", ["foo bar"], None, 1, [1]) for b in ("a", "b")], schema)
+    ranges = spark.createDataFrame([("a", 1, 1, 1), ("b", 1, 1, 1)], "book_id string, chapter int, start int, end int")
+    empty = spark.createDataFrame([], f"key string, edits {L.EDITS}")
+    folder = str(tmp_path)
+
+    def provider(lines, offset):
+        import uuid
+
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        return '[{"line": 1, "before": "bar", "after": "barn", "why": "w"}]'
+
+    fixes, failures = L.proofread(blocks, ranges, empty, provider, "m", "")
+    assert sorted((r.book_id, r.ord, r.after) for r in fixes.collect()) == [("a", 1, "barn"), ("b", 1, "barn")] and len(list(tmp_path.iterdir())) == 1
+    fixes, failures = L.proofread(blocks, ranges, empty, lambda lines, offset: None, "m", "")
+    assert fixes.collect() == [] and sorted(r.book_id for r in failures.collect()) == ["a", "b"]

@@ -45,6 +45,8 @@ def test_chapter_plan(spark):
     assert [(r.title, r.start, r.end) for r in got.orderBy("ord").collect()] == [("t0", 3, 11), ("t2", 12, 51), ("t4", 52, 100)]
     assert [(r.title, r.reason) for r in rejects.collect()] == [("t5", "range")]
     _, rejects = plan(spark, [(5, False), (5, False)])
+    none, rejects = plan(spark, [(5, False), (9, False), (7, False), (12, False), (200, False)])
+    assert none.collect() == [] and [(r.ord, r.reason) for r in rejects.collect()] == [(2, "order")]
     with pytest.raises(ValueError, match="order"):
         T.assert_none(rejects, "contents")
 
