@@ -6,7 +6,7 @@ softmax model with one class for each licence family and one for what is unknown
 paragraphs sampled from the corpus (bounded by `sample`; families come from the templates, so no labels are read). The
 model's temperature is fitted on paragraphs that it wasn't trained on, and a family is predicted from `least` calibrated
 probability on. A prediction stands if the closest template of its family has `confirm` of its words and pairs in the
-paragraph; otherwise the paragraph is reported as `unknown` with confirmed = false. Where the families have that probability
+paragraph, and half of those that no other family has, so licences outside of the list aren't taken for their neighbours; otherwise the paragraph is reported as `unknown` with confirmed = false. Where the families have that probability
 only together, each of the two first is scored on what the other's closest template leaves of the paragraph; where one is
 confirmed, the others are scored on what its closest template leaves.
 
@@ -15,7 +15,8 @@ unknown without more work, which is exact, as the intercepts then decide.
 
 Results in special cases: null and empty texts and empty lines have no rows; joined lines have a
 row only if confirmed where no line of theirs is confirmed for the family by itself, numbered by the first line that adds to
-the similarity; repeated rows give repeated rows; equal paragraphs get equal results.
+the similarity; repeated rows give repeated rows; equal paragraphs get equal results; very long texts are read whole,
+in windows; of equally likely families the first of the list; columns other than the two named are not read.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ SAMPLE = 3000
 BITS = 18
 LEAST = 0.9
 CONFIRM = 0.6
+#: Share of the features that tell a template from those of other families.
+OWN = 0.5
 VARIANTS = 24
 #: Words of a window of joined lines: twice those of the longest template.
 STRETCH = 100
@@ -49,6 +52,8 @@ TEMPLATES = {
         "Licensed under the MIT License. See LICENSE in the project root for license information.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "The MIT License (MIT)",
+        "MIT License",
         "SPDX-License-Identifier: MIT",
     ),
     "Apache-2.0": (
@@ -67,6 +72,8 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "License: GPLv2",
+        "License: GPLv3",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "LGPL": (
@@ -133,7 +140,7 @@ class LicenceModel:
     intercepts: np.ndarray
     temperature: float
     features: ParagraphFeatures
-    templates: list[tuple[int, np.ndarray]]  #: family, sorted features
+    templates: list[tuple[int, np.ndarray, np.ndarray]]  #: family, sorted features, those that no other family's templates have
 
     def probabilities(self, x: linear.Sparse) -> np.ndarray:
         return linear.softmax((x.times(self.weights) + self.intercepts) / self.temperature)
@@ -159,8 +166,10 @@ class LicenceModel:
         return np.array(columns[0], np.int64), np.array(columns[1], np.int64), np.array(columns[2], float), np.array(columns[3], float)
 
     def closest(self, mine: np.ndarray, family: int) -> tuple[float, np.ndarray]:
-        """Similarity of a family's closest template to a paragraph's features, and its features."""
-        return max(((float(np.isin(t, mine).mean()), t) for k, t in self.templates if k == family), key=lambda x: x[0], default=(0.0, mine[:0]))
+        """Similarity of a family's closest template to a paragraph's features, and its features. A template of whose own
+        features the paragraph has less than OWN isn't like it, however much both share with other notices."""
+        like = lambda t, own: float(np.isin(t, mine).mean()) if not len(own) or np.isin(own, mine).mean() >= OWN else 0.0
+        return max(((like(t, own), t) for k, t, own in self.templates if k == family), key=lambda x: x[0], default=(0.0, mine[:0]))
 
     def _rest(self, mine: np.ndarray, *templates: np.ndarray) -> np.ndarray:
         """Probabilities of what some templates leave of a paragraph."""
@@ -293,6 +302,7 @@ def train(negatives: list[str], bits: int = BITS, seed: int = 6) -> LicenceModel
     for k, family in enumerate(TEMPLATES):
         for t in TEMPLATES[family]:
             templates.append((k, features.of(pa.array([t]))[1]))
+    templates = [(k, t, t[~np.isin(t, np.concatenate([x for j, x in templates if j != k]))]) for k, t in templates]
     return LicenceModel(families, slots, weights, b, float(temperature), features, templates)
 
 

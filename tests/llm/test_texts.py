@@ -237,3 +237,12 @@ def test_malformed_pages_take_linear_time(page):
     began = time.process_time()
     html_text.main_text(page)
     assert time.process_time() - began < 4
+
+
+def test_licences_outside_of_the_list_are_unknown():
+    model = licences.train(["some words of a story here and there"] * 200)
+    told = lambda t: [(model.families[k], s >= licences.CONFIRM) for k, s in zip(*(x.tolist() for x in model.scan(pa.array([t]))[1::2]))]
+    for text in ("Licensed under the Eclipse Public License 2.0.", "Licensed under the Artistic License 2.0.", "he went to MIT with a license"):
+        assert not any(sure for _, sure in told(text)), text
+    for text, family in (("MIT License", "MIT"), ("License: GPLv2", "GPL"), ("Licensed under the Mozilla Public License, version 2.0.", "MPL-2.0"), ("Licensed under the GNU Lesser General Public License, version 2.1.", "LGPL")):
+        assert told(text) == [(family, True)], text
