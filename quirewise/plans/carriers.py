@@ -108,11 +108,11 @@ def heading_classify(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.heading_level(made_heading()).alias("level"))
 
 
-RUBY_SQL = "'｜' || source || '《' || lang || '》 漢字《' || lang || '》<b>' || substr(text, 1, 40) || '｜'"
+RUBY_SQL = "'｜' || source || '《' || lang || '》 漢字《' || lang || '》<b>' || text || '｜'"
 
 
 def made_ruby() -> Column:
-    return F.concat(F.lit("｜"), "source", F.lit("《"), "lang", F.lit("》 漢字《"), "lang", F.lit("》<b>"), F.substring("text", 1, 40), F.lit("｜"))
+    return F.concat(F.lit("｜"), "source", F.lit("《"), "lang", F.lit("》 漢字《"), "lang", F.lit("》<b>"), "text", F.lit("｜"))
 
 
 STRIPPED_SQL = f"replace(regexp_replace(regexp_replace({RUBY_SQL}, '{P.RUBY_PIPE}', '\\1', 'g'), '{P.RUBY_BARE}', '\\1', 'g'), '｜', '')"
@@ -536,7 +536,7 @@ def edit_validate(spark, sf_dir):
 
 
 FIXES = f"(SELECT source AS book_id, doc_id AS ord, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, {TOKEN.format('text')} AS before FROM documents)"
-FIX_LINES = "(SELECT source AS book_id, doc_id AS line_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) + doc_id % 2 AS page, substr(text, 1, 60) AS line FROM documents)"
+FIX_LINES = "(SELECT source AS book_id, doc_id AS line_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) + doc_id % 2 AS page, text AS line FROM documents)"
 
 
 @query(
@@ -547,7 +547,7 @@ FIX_LINES = "(SELECT source AS book_id, doc_id AS line_id, row_number() OVER (PA
 def fix_apply_unique(spark, sf_dir):
     d = table(spark, sf_dir, "documents").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).withColumnRenamed("source", "book_id")
     fixes = d.select("book_id", F.col("doc_id").alias("ord"), F.col("n").cast("long").alias("page"), token(F.col("text")).alias("before"), F.lit("x").alias("after"))
-    lines = d.select("book_id", F.col("doc_id").alias("line_id"), (F.col("n") + F.col("doc_id") % 2).alias("page"), F.substring("text", 1, 60).alias("line"))
+    lines = d.select("book_id", F.col("doc_id").alias("line_id"), (F.col("n") + F.col("doc_id") % 2).alias("page"), F.col("text").alias("line"))
     return longs(corrections.unique_matches(lines, fixes, ["book_id"]).select("book_id", "ord", "reason", "line_id"))
 
 
@@ -649,10 +649,12 @@ def crop_boxes(spark, sf_dir):
     return longs(render.crop_boxes(f).drop("book_id"))
 
 
-@query("SELECT x::BIGINT AS page FROM (SELECT unnest(range(2, 101)) AS x) WHERE x NOT IN (SELECT page_id FROM pages WHERE page_id % 3 = 0)")
+@query("SELECT x::BIGINT AS page FROM (SELECT unnest(range(2, (SELECT 2 * max(page_id) + 2 FROM pages))) AS x) WHERE x NOT IN (SELECT 2 * page_id FROM pages)")
 def missing_pages(spark, sf_dir):
-    have = table(spark, sf_dir, "pages").where("page_id % 3 = 0").select(F.col("page_id").cast("int").alias("page"))
-    return longs(sources.missing_pages(spark, (2, 500), 100, have))
+    """All pages of the table stand at even places; what lies between them is missing."""
+    have = table(spark, sf_dir, "pages").select((2 * F.col("page_id")).cast("int").alias("page"))
+    last = have.agg(F.max("page")).first()[0] or 0
+    return longs(sources.missing_pages(spark, (2, last + 1), last + 1, have))
 
 
 @query("SELECT doc_id AS book_id, unnest(range(1, len(l) + 1))::BIGINT AS page, unnest(l) AS layer FROM (SELECT doc_id, string_split(text, '.') AS l FROM documents)")
