@@ -218,13 +218,16 @@ def geometry(spark, sf_dir) -> DataFrame:
     return l.select(F.lit("d").alias("book_id"), F.col("doc_id").alias("page"), (F.col("line_no") - 1).alias("ord"), "line", x0.cast("double").alias("x0"), x1.cast("double").alias("x1"), y0.cast("double").alias("y0"), (y0 + 30.0).alias("y1"), F.lit(30.0).alias("h"), (x1 - x0).cast("double").alias("w"), F.lit(False).alias("vertical"))
 
 
-@query(
-    f"""WITH g AS {GEOMETRY}, d AS (SELECT doc_id, count(*) AS lines FROM g GROUP BY 1),
+GUTTERS = f"""WITH g AS {GEOMETRY}, d AS (SELECT doc_id, count(*) AS lines FROM g GROUP BY 1),
     c AS (SELECT d.doc_id, x.x, any_value(d.lines) AS lines, count(g.line_no) AS over FROM d CROSS JOIN (SELECT unnest(range(350, 650)) AS x) x LEFT JOIN g ON g.doc_id = d.doc_id AND greatest(350, g.x0) <= x.x AND x.x < least(650, g.x1) GROUP BY 1, 2),
     f AS (SELECT doc_id, x, lines, x - row_number() OVER (PARTITION BY doc_id ORDER BY x) AS island FROM c WHERE over <= greatest(1, floor(lines * 0.05))),
     i AS (SELECT doc_id, lines, min(x) AS s, count(*) AS w FROM f GROUP BY doc_id, lines, island),
     b AS (SELECT doc_id, lines, s + w / 2.0 AS split FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, s) AS k FROM i) WHERE k = 1 AND w >= 20),
-    n AS (SELECT b.doc_id, b.lines, b.split, count(*) FILTER (g.x0 < b.split) AS first FROM b JOIN g USING (doc_id) GROUP BY ALL)
+    n AS (SELECT b.doc_id, b.lines, b.split, count(*) FILTER (g.x0 < b.split) AS first FROM b JOIN g USING (doc_id) GROUP BY ALL)"""
+
+
+@query(
+    f"""{GUTTERS}
     SELECT doc_id AS page, split::DOUBLE AS split FROM n WHERE least(first, lines - first) >= lines * 0.2"""
 )
 def gutter(spark, sf_dir):
@@ -233,13 +236,15 @@ def gutter(spark, sf_dir):
 
 
 @query(
-    f"""WITH g AS (SELECT *, {TOKEN.format("line")} AS t FROM {GEOMETRY} WHERE doc_id % 2 = 1), o AS (SELECT *, lag(y0) OVER w + 30 - 30 * 0.4 AS edge, row_number() OVER w AS r FROM g WINDOW w AS (PARTITION BY doc_id ORDER BY y0, x0, line_no)),
-    s AS (SELECT *, sum(CASE WHEN y0 < edge THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY r) AS grp FROM o),
-    x AS (SELECT doc_id, grp, string_agg(t, ' ' ORDER BY x0, r) AS txt FROM s GROUP BY 1, 2), y AS (SELECT doc_id, grp, regexp_replace(regexp_replace(txt, ' {{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS txt FROM x)
-    SELECT doc_id AS page, row_number() OVER (PARTITION BY doc_id ORDER BY grp) - 1 AS "row", txt AS row_text FROM y WHERE txt <> ''"""
+    f"""{GUTTERS},
+    q AS (SELECT g.*, {TOKEN.format("line")} AS t, coalesce(x0 >= split, false) AS col FROM g LEFT JOIN (SELECT doc_id, split FROM n WHERE least(first, lines - first) >= lines * 0.2) USING (doc_id)),
+    o AS (SELECT *, lag(y0) OVER w + 30 - 30 * 0.4 AS edge, row_number() OVER w AS r FROM q WINDOW w AS (PARTITION BY doc_id, col ORDER BY y0, x0, line_no)),
+    s AS (SELECT *, sum(CASE WHEN y0 < edge THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, col ORDER BY r) AS grp FROM o),
+    x AS (SELECT doc_id, col, grp, string_agg(t, ' ' ORDER BY x0, r) AS txt FROM s GROUP BY 1, 2, 3), y AS (SELECT doc_id, col, grp, regexp_replace(regexp_replace(txt, ' {{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS txt FROM x)
+    SELECT doc_id AS page, row_number() OVER (PARTITION BY doc_id ORDER BY col, grp) - 1 AS "row", txt AS row_text FROM y WHERE txt <> ''"""
 )
 def row_cluster(spark, sf_dir):
-    l = geometry(spark, sf_dir).where("page % 2 = 1").withColumn("text", token(F.col("line"))).drop("line")
+    l = geometry(spark, sf_dir).withColumn("text", token(F.col("line"))).drop("line")
     sizes = l.select("book_id", "page").distinct().withColumn("width", F.lit(1000)).withColumn("height", F.lit(2000))
     return longs(layout.rows_of(l, sizes).select("page", "row", "row_text"))
 
@@ -535,8 +540,14 @@ def edit_validate(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", v.alias("v")).select("doc_id", "v.reason")
 
 
-FIXES = f"(SELECT source AS book_id, doc_id AS ord, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS page, {TOKEN.format('text')} AS before FROM documents)"
-FIX_LINES = "(SELECT source AS book_id, doc_id AS line_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) + doc_id % 2 AS page, text AS line FROM documents)"
+# A book is 64 successive ids, so books grow in number, not in size.
+FIXES = f"(SELECT doc_id // 64 AS book_id, doc_id AS ord, row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) AS page, {TOKEN.format('text')} AS before FROM documents)"
+FIX_LINES = "(SELECT doc_id // 64 AS book_id, doc_id AS line_id, row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) + doc_id % 2 AS page, text AS line FROM documents)"
+
+
+def _fix_books(spark, sf_dir) -> DataFrame:
+    d = table(spark, sf_dir, "documents").withColumn("book_id", F.floor(F.col("doc_id") / 64))
+    return d.withColumn("n", F.row_number().over(Window.partitionBy("book_id").orderBy("doc_id")))
 
 
 @query(
@@ -545,7 +556,7 @@ FIX_LINES = "(SELECT source AS book_id, doc_id AS line_id, row_number() OVER (PA
     SELECT f.book_id, f.ord, CASE WHEN f.before = '' THEN 'empty' WHEN c.a > 1 THEN 'several' WHEN c.a = 1 OR c.b = 1 THEN '' ELSE 'not found' END AS reason, CASE WHEN f.before = '' THEN NULL WHEN c.a = 1 THEN x WHEN c.a = 0 AND c.b = 1 THEN y END AS line_id FROM {FIXES} f LEFT JOIN c USING (book_id, ord)"""
 )
 def fix_apply_unique(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).withColumnRenamed("source", "book_id")
+    d = _fix_books(spark, sf_dir)
     fixes = d.select("book_id", F.col("doc_id").alias("ord"), F.col("n").cast("long").alias("page"), token(F.col("text")).alias("before"), F.lit("x").alias("after"))
     lines = d.select("book_id", F.col("doc_id").alias("line_id"), (F.col("n") + F.col("doc_id") % 2).alias("page"), F.col("text").alias("line"))
     return longs(corrections.unique_matches(lines, fixes, ["book_id"]).select("book_id", "ord", "reason", "line_id"))
@@ -554,7 +565,7 @@ def fix_apply_unique(spark, sf_dir):
 @query()
 def fix_apply_ordered(spark, sf_dir):
     """L10 in order, where fixes meet each other's results; tests hold goldens."""
-    d = table(spark, sf_dir, "documents").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).withColumnRenamed("source", "book_id")
+    d = _fix_books(spark, sf_dir)
     fixes = d.select("book_id", F.col("n").alias("ord"), F.col("n").alias("page"), token(F.col("text")).alias("before"), F.lit("x").alias("after"))
     lines = d.select("book_id", F.col("doc_id").alias("line_id"), F.col("n").alias("page"), F.col("text").alias("line"))
     return longs(corrections.apply_fixes(lines, fixes, ["book_id"])[1])
