@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,42 @@ def test_ngram_join_against_brute_force(docs, rows):
     assert {i: r.copy_id for i, r in got.items()} == copy
 
 
+def test_hot_prefixes_stay_long_where_other_tries_make_up_for_them():
+    def own(hot, sizes):
+        rows = [{"key": 1, "node": 1, "text_hash": 1, "tree": t, "label": b"x", "bytes": 1, "n4": sizes(t), "n5": 900, "n6": 800} for t in range(hot)]
+        batch = pa.RecordBatch.from_pylist(rows)
+        out = pa.Table.from_batches(ngram_join.shortening(16, 6, 4, 0.8, 0.999)(iter([batch])))
+        assert list(out["lengths"][0].as_py())[:hot] == out["own"].to_pylist()
+        missed = 1.0
+        for length in out["lengths"][0].as_py():
+            missed *= 1 - 0.8**length
+        assert missed <= 0.001
+        return out["own"].to_pylist()
+
+    assert own(5, lambda t: 1000) == [6] * 5
+    whole = own(16, lambda t: 1000 + 1000 * t)
+    assert 4 <= min(whole) and max(whole) > 4
+    assert whole[0] < whole[-1]  # those that gain the fewest nodes go first
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_hot_group_of_near_copies_keeps_each_link(spark, block):
+    rng = random.Random(8)
+    base = [f"v{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for k in range(i % 4):
+            w[rng.randrange(120)] = f"e{i}-{k}"
+        texts.append(" ".join(w))
+    sets = [shingles(t) for t in texts]
+    want = [sum(len(a & b) / len(a | b) >= 0.8 for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)]
+    frame = spark.createDataFrame([(i, t, "s", "d", "k") for i, t in enumerate(texts)], DOC)
+    got = {r.doc_id: r.n_links for r in ngram_join.join(frame, block=block).collect()}
+    assert sum(got.values()) >= 0.998 * sum(want)
+    assert all(got[i] <= n for i, n in enumerate(want))
+
+
 def test_ngram_join_repeats_nulls_and_empty(spark):
     text = " ".join(map(str, range(40)))
     frame = spark.createDataFrame([(None, text), (5, text), (5, text), (7, "other words"), (7, text + " x")], "doc_id long, text string")
@@ -73,7 +110,7 @@ def test_ngram_join_repeats_nulls_and_empty(spark):
     assert len(got) == 5 and got[0] == (0, None, 3)
     assert [c for _, c, _ in got[:3]] == [None] * 3
     assert ngram_join.join(frame.where("false")).collect() == []
-    assert ngram_join.prefix_depth(0.8, 16, 5, 0.999) == 4 and ngram_join.prefix_depth(0.5, 2, 4, 0.999) == 1
+    assert ngram_join.prefix_depth(0.8, 16, 6, 0.999) == 4 and ngram_join.prefix_depth(0.5, 2, 4, 0.999) == 1
 
 
 def test_components(spark):
