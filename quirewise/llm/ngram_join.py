@@ -43,7 +43,7 @@ SIZE = 5
 TREES = 16
 DEPTH = 6
 RECALL = 0.999
-BLOCK = 512
+BLOCK = 256
 BYTES = 4 << 20
 COLUMNS = 4096
 LEAST_ID = -(2**63)

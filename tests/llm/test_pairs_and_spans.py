@@ -85,7 +85,7 @@ def test_hot_prefixes_stay_long_where_other_tries_make_up_for_them():
     assert whole[0] < whole[-1]  # those that gain the fewest nodes go first
 
 
-@pytest.mark.parametrize("block", [16, 512])
+@pytest.mark.parametrize("block", [16, 256])
 def test_hot_group_of_near_copies_keeps_each_link(spark, block):
     rng = random.Random(8)
     base = [f"v{rng.randrange(10**6)}" for _ in range(120)]
