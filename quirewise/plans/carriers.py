@@ -721,3 +721,174 @@ def build_blocks(spark, sf_dir):
     layer = d.select(F.col("source").alias("book_id"), F.col("doc_id").cast("int").alias("page"), F.lit("").alias("layer"))
     blocks = block_plan.build_blocks(pages, layer)[0]
     return longs(blocks.select("book_id", "seq", "kind", "page", F.size("lines").alias("n_lines")))
+
+
+@query(
+    f"""SELECT doc_id, array_to_string(CASE WHEN len(l) >= 3 THEN list_append(l[1:len(l) - 1], CASE WHEN starts_with(e, '――') THEN e ELSE '――' || e END) ELSE l END, chr(10)) AS title
+    FROM (SELECT doc_id, l, regexp_replace(l[len(l)], '[{P.DASHES}]+$', '――') AS e FROM (SELECT doc_id, string_split(text || CASE doc_id % 3 WHEN 0 THEN '—' WHEN 1 THEN '--' ELSE '' END, chr(10)) AS l FROM documents))"""
+)
+def title_dash(spark, sf_dir):
+    """T8 over the lines of whole texts, some of which end in a dash."""
+    end = F.when(F.col("doc_id") % 3 == 0, "—").when(F.col("doc_id") % 3 == 1, "--").otherwise("")
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.subtitle_dash(F.split(F.concat("text", end), "\n", -1)), "\n").alias("title"))
+
+
+VOCABULARY = [*P.FRONT_BACK, *P.UNNUMBERED_CHAPTERS, "本文"]
+TITLE_SQL = f"""[{", ".join(f"'{p}'" for p in ("", "", *P.PREFIXES))}][1 + (doc_id // 7) % {len(P.PREFIXES) + 2}] || [{", ".join(f"'{w}'" for w in VOCABULARY)}][1 + doc_id % {len(VOCABULARY)}]
+    || CASE (doc_id // 3) % 5 WHEN 0 THEN '' WHEN 1 THEN doc_id::VARCHAR WHEN 2 THEN 'xiv' WHEN 3 THEN ' 12' ELSE {TOKEN.format("text")} END"""
+
+
+def unpaged_sql(e: str) -> str:
+    """T9 in SQL."""
+    word = f"regexp_extract({e}, '{P.NUMBERED_PAGE_RE}', 1)"
+    return f"CASE WHEN {word} <> '' THEN {word} ELSE {e} END"
+
+
+@query(
+    f"""SELECT doc_id, unpaged, CASE WHEN regexp_matches(z, '^{P.PREFIX}{P.any_of([w for w in P.FRONT_BACK if w not in P.CONTENTS])}{WORD_END_SQL}') OR regexp_matches(z, '^{P.any_of(P.UNNUMBERED_CHAPTERS)}{WORD_END_SQL}') THEN z ELSE '' END AS front_back
+    FROM (SELECT doc_id, {unpaged_sql("x")} AS unpaged, {unpaged_sql("y")} AS z FROM (SELECT doc_id, x, {norm_sql("x")} AS y FROM (SELECT doc_id, {TITLE_SQL} AS x FROM documents)))"""
+)
+def front_back_title(spark, sf_dir):
+    """T9 and T10 over titles of the vocabulary with page numbers or words behind them; further lines don't count."""
+    d = F.col("doc_id")
+    pick = lambda words, k: F.element_at(F.array(*map(F.lit, words)), (k + 1).cast("int"))
+    k = F.floor(d / 3) % 5
+    end = F.when(k == 0, "").when(k == 1, d.cast("string")).when(k == 2, "xiv").when(k == 3, " 12").otherwise(token(F.col("text")))
+    title = F.concat(pick(("", "", *P.PREFIXES), F.floor(d / 7) % (len(P.PREFIXES) + 2)), pick(VOCABULARY, d % len(VOCABULARY)), end)
+    return table(spark, sf_dir, "documents").select("doc_id", X.without_page_number(title).alias("unpaged"), X.front_back_title(F.concat(title, F.lit("\n"), "text")).alias("front_back"))
+
+
+@query(
+    f"""SELECT doc_id, coalesce((regexp_full_match(t, '[0-9]+') AND regexp_full_match(h, '[0-9]+')) OR (regexp_full_match(t, '[A-Z]+') AND regexp_full_match(h, '[A-Z]+') AND least(length(t), length(h)) = 1), false) AS split
+    FROM (SELECT doc_id, regexp_extract(a, '[{P.CJK}]([0-9A-Za-z]+)$', 1) AS t, regexp_extract(b, '^([0-9A-Za-z]+)[{P.CJK}]', 1) AS h
+    FROM (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '字' || (doc_id % 100) WHEN 1 THEN '字' || upper({TOKEN.format("text")}) WHEN 2 THEN '、A' ELSE text END AS a,
+    CASE (doc_id // 4) % 4 WHEN 0 THEN (doc_id % 7) || '字' WHEN 1 THEN 'B字' WHEN 2 THEN 'BC。' ELSE text END AS b FROM documents))"""
+)
+def split_token(spark, sf_dir):
+    """T4 over line ends and starts beside CJK text, and over whole texts."""
+    d, t = F.col("doc_id"), F.col("text")
+    a = F.when(d % 4 == 0, F.concat(F.lit("字"), d % 100)).when(d % 4 == 1, F.concat(F.lit("字"), F.upper(token(t)))).when(d % 4 == 2, "、A").otherwise(t)
+    k = F.floor(d / 4) % 4
+    b = F.when(k == 0, F.concat(d % 7, F.lit("字"))).when(k == 1, "B字").when(k == 2, "BC。").otherwise(t)
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(X.is_split_token(a, b), F.lit(False)).alias("split"))
+
+
+@query(
+    """SELECT c_custkey, concat_ws(chr(10), '書名: ' || c_name, CASE WHEN c_custkey % 2 = 0 THEN '著者: ' || c_mktsegment END, '刊行: ' || c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'ISBN: 978' END) AS summary,
+    CASE WHEN c_custkey % 4 = 0 THEN c_name ELSE c_name || '、' || c_mktsegment END AS authors FROM customer"""
+)
+def record_summary(spark, sf_dir):
+    """M7, and T23 of names with a repeated, an empty and sometimes a second one."""
+    k, n, s = F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")
+    c = table(spark, sf_dir, "customer").select(
+        k, n.alias("title"), F.when(k % 2 == 0, s).otherwise("").alias("author"), F.lit("").alias("publisher"), F.lit(None).cast("string").alias("series"),
+        k.cast("string").alias("pubdate"), F.lit("").alias("extent"), F.when(k % 3 == 0, "978").otherwise("").alias("isbn"),
+        metadata.join_authors(F.array(F.concat(n, F.lit(" 著")), F.lit(" "), F.when(k % 4 == 0, n).otherwise(F.concat(s, F.lit("、1900-1980"))), n)).alias("authors"),
+    )
+    return c.select("c_custkey", F.array_join(metadata.summary_lines(), "\n").alias("summary"), "authors")
+
+
+@query(
+    f"""SELECT p_partkey, CASE WHEN ok THEN body || c ELSE '' END AS isbn, p_name AS title, p_name AS author, 'P' AS publisher, '' AS series, CASE p_partkey % 3 WHEN 0 THEN '1996.3' WHEN 1 THEN '1996' ELSE 'n.d.' END AS pubdate,
+    '' AS extent, '{metadata.FIRST_SOURCE}' AS source, CASE WHEN ok THEN '{metadata.RECORD_LINK}' || body || c ELSE '' END AS link
+    FROM (SELECT *, (10 - list_sum(list_transform(range(1, 13), lambda i: substr(body, i, 1)::INT * CASE WHEN i % 2 = 0 THEN 3 ELSE 1 END)) % 10) % 10 AS c, p_partkey % 4 <> 0 AS ok
+    FROM (SELECT *, '978' || lpad(p_partkey::VARCHAR, 9, '0') AS body FROM part)) WHERE p_partkey % 7 <> 0"""
+)
+def record_parse(spark, sf_dir):
+    """M1 over records with and without contributors, with right and wrong check digits, and without a title."""
+    k, n = F.col("p_partkey"), F.col("p_name")
+    body = F.concat(F.lit("978"), F.lpad(k.cast("string"), 9, "0"))
+    check = metadata.check_digit_13(body).cast("int")
+    isbn = F.concat(F.lit("ISBN "), body, F.lit("-"), F.when(k % 4 == 0, (check + 1) % 10).otherwise(check).cast("string"))
+    person = lambda c: F.struct(F.struct(c.alias("content")).alias("PersonName"))
+    people = F.when(k % 5 == 0, F.lit(None)).otherwise(F.array(person(F.concat(n, F.lit(" 著"))), person(F.lit(None).cast("string"))))
+    date = F.when(k % 3 == 0, "1996-03").when(k % 3 == 1, "1996").otherwise(" n.d. ")
+    summary = F.struct(isbn.alias("isbn"), F.when(k % 7 == 0, " ").otherwise(F.concat(F.lit(" "), n)).alias("title"), F.lit(None).cast("string").alias("series"), F.lit("P ").alias("publisher"), date.alias("pubdate"), F.concat(n, F.lit(", 1900-1980")).alias("author"))
+    record = F.struct(F.struct(F.struct(people.alias("Contributor")).alias("DescriptiveDetail")).alias("onix"), summary.alias("summary"))
+    parsed = table(spark, sf_dir, "part").select("p_partkey", metadata.parse_openbd(record).alias("m"))
+    return parsed.where("m is not null").select("p_partkey", "m.*")
+
+
+NODES_SQL = """(SELECT *, dense_rank() OVER (PARTITION BY book_id ORDER BY f) AS play FROM (SELECT *, min(id) OVER (PARTITION BY book_id, href) AS f FROM (
+    SELECT o_custkey AS book_id, o_orderkey * 10 AS id, NULL AS parent, 1 AS depth, 'n' || o_orderkey || ' <&>' AS title, 'text/' || o_orderkey % 3 || '.xhtml' AS href FROM orders
+    UNION SELECT o_custkey, o_orderkey * 10 + l_linenumber, o_orderkey * 10, 2, 'l' || l_linenumber, 'text/' || o_orderkey % 3 || '.xhtml#s' || l_linenumber % 4 FROM lineitem JOIN orders ON l_orderkey = o_orderkey)))"""
+
+
+def order_nav(spark, sf_dir) -> DataFrame:
+    """Orders of a customer as chapters, their lines as sections, some of which share a target."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("book_id"), "o_orderkey").distinct()
+    l = o.join(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber").distinct(), "o_orderkey")
+    k, n = F.col("o_orderkey"), F.col("l_linenumber")
+    file = F.concat(F.lit("text/"), k % 3, F.lit(".xhtml"))
+    top = o.select("book_id", (k * 10).alias("node_id"), F.lit(None).cast("long").alias("parent_id"), F.lit(1).alias("depth"), F.concat(F.lit("n"), k, F.lit(" <&>")).alias("title"), file.alias("href"))
+    return top.unionByName(l.select("book_id", (k * 10 + n).alias("node_id"), (k * 10).alias("parent_id"), F.lit(2).alias("depth"), F.concat(F.lit("l"), n).alias("title"), F.concat(file, F.lit("#s"), n % 4).alias("href")))
+
+
+def order_books(nav: DataFrame) -> DataFrame:
+    return nav.groupBy("book_id").agg(F.min_by("href", "node_id").alias("first_href")).withColumn("title", F.concat(F.lit("t&"), "book_id")).withColumn("identifier", F.concat(F.lit("urn:x:"), "book_id"))
+
+
+POINT_SQL = f"'<navPoint id=\"navPoint-' || id || '\" playOrder=\"' || play || '\">' || chr(10) || '<navLabel><text>' || {escape_sql('title')} || '</text></navLabel>' || chr(10) || '<content src=\"' || href || '\"/>' || chr(10)"
+
+
+def meta_sql(name: str, value: str) -> str:
+    return f"'<meta name=\"dtb:{name}\" content=\"' || {value} || '\"/>' || chr(10)"
+
+
+@query(
+    f"""WITH n AS {NODES_SQL}, k AS (SELECT parent, string_agg({POINT_SQL} || '</navPoint>' || chr(10), '' ORDER BY id) AS kids FROM n WHERE depth = 2 GROUP BY 1),
+    t AS (SELECT book_id, string_agg({POINT_SQL} || coalesce(kids, '') || '</navPoint>' || chr(10), '' ORDER BY id) AS points, max(CASE WHEN kids IS NULL THEN 1 ELSE 2 END) AS depth FROM n LEFT JOIN k ON k.parent = n.id WHERE n.depth = 1 GROUP BY 1)
+    SELECT book_id, depth::BIGINT AS depth, '<head>' || chr(10) || {meta_sql("uid", "'urn:x:' || book_id")} || {meta_sql("depth", "depth")} || {meta_sql("totalPageCount", "'0'")} || {meta_sql("maxPageNumber", "'0'")} || '</head>' || chr(10)
+    || '<docTitle><text>t&amp;' || book_id || '</text></docTitle>' || chr(10) || '<navMap>' || chr(10) || points || '</navMap>' || chr(10) || '</ncx>' || chr(10) AS ncx FROM t"""
+)
+def ncx_render(spark, sf_dir):
+    """The document from its head on (what precedes is fixed), the depth and shared targets."""
+    nav = written(order_nav(spark, sf_dir), "nav")
+    out = render.ncx(structure.play_order(nav), order_books(nav)).join(structure.nav_depth(nav), "book_id")
+    return longs(out.select("book_id", "depth", F.concat(F.lit("<head>"), F.substring_index("ncx", "<head>", -1)).alias("ncx")))
+
+
+LINK_SQL = f"'<li><a href=\"' || href || '\">' || {escape_sql('title')} || '</a>'"
+
+
+@query(
+    f"""WITH n AS {NODES_SQL}, k AS (SELECT parent, '<ol>' || string_agg({LINK_SQL} || '</li>', '' ORDER BY id) || '</ol>' AS kids FROM n WHERE depth = 2 GROUP BY 1),
+    t AS (SELECT book_id, '<ol>' || string_agg({LINK_SQL} || coalesce(kids, '') || '</li>', '' ORDER BY id) || '</ol>' AS list, arg_min(href, id) AS first FROM n LEFT JOIN k ON k.parent = n.id WHERE n.depth = 1 GROUP BY 1)
+    SELECT book_id, '<body>' || chr(10) || '<nav epub:type="toc" id="toc"><h1>目次</h1>' || list || '</nav>' || chr(10) || '<nav epub:type="landmarks" id="landmarks" hidden=""><ol><li><a epub:type="cover" href="cover.xhtml">表紙</a></li><li><a epub:type="toc" href="nav.xhtml">目次</a></li><li><a epub:type="bodymatter" href="'
+    || first || '">{render.UNTITLED}</a></li></ol></nav>' || chr(10) || '</body>' || chr(10) || '</html>' || chr(10) AS body FROM t"""
+)
+def nav_page(spark, sf_dir):
+    """The whole navigation page of two levels, from its body on."""
+    nav = written(order_nav(spark, sf_dir), "nav")
+    out = render.nav_xhtml(nav, order_books(nav), vertical=False)
+    return out.select("book_id", F.concat(F.lit("<body>"), F.substring_index("xhtml", "<body>", -1)).alias("body"))
+
+
+@query(
+    f"""SELECT doc_id, '{render.XHTML_HEAD.format(lang="ja")}' || {escape_sql("title")} || '</title>' || chr(10) || '<link rel="stylesheet" type="text/css" href="../style.css"/></head>' || chr(10) || '<body><section epub:type="' || kind || '">' || chr(10)
+    || {escape_sql("text")} || chr(10) || '</section></body>' || chr(10) || '</html>' || chr(10) AS xhtml FROM (SELECT doc_id, text, source || ' <' || doc_id || '>' AS title, CASE WHEN doc_id % 2 = 0 THEN 'chapter' ELSE 'part' END AS kind FROM documents)"""
+)
+def page_render(spark, sf_dir):
+    """R5 over whole texts."""
+    d = table(spark, sf_dir, "documents")
+    title = F.concat("source", F.lit(" <"), "doc_id", F.lit(">"))
+    return d.select("doc_id", render.xhtml_page(title, X.escape(F.col("text")), "../style.css", F.when(F.col("doc_id") % 2 == 0, "chapter").otherwise("part")).alias("xhtml"))
+
+
+@query(
+    f"""SELECT book_id, '<dc:identifier id="pub-id">urn:x:' || book_id || '</dc:identifier>' || chr(10) || '<dc:title>t&amp;' || book_id || '</dc:title>' || chr(10) || '<dc:language>ja</dc:language>' || chr(10)
+    || CASE WHEN book_id % 2 = 0 THEN '<dc:creator>a' || book_id || '</dc:creator>' || chr(10) ELSE '' END || '<dc:publisher>p</dc:publisher>' || chr(10) || '<meta property="dcterms:modified">2000-01-01T00:00:00Z</meta>' || chr(10)
+    || '<meta name="primary-writing-mode" content="vertical-rl"/>' || chr(10) || '</metadata>' || chr(10) || '<manifest>' || chr(10) || items || chr(10) || '</manifest>' || chr(10) || '<spine toc="ncx" page-progression-direction="rtl">' || chr(10) || refs || chr(10) || '</spine>' || chr(10) || '</package>' || chr(10) AS opf
+    FROM (SELECT book_id, string_agg('<item id="c' || id || '" href="text/' || id || '.xhtml" media-type="application/xhtml+xml"' || CASE WHEN id % 2 = 1 THEN ' properties="svg"' ELSE '' END || '/>', chr(10) ORDER BY id) AS items,
+    string_agg('<itemref idref="c' || id || '"' || CASE WHEN id % 3 = 0 THEN ' linear="no"' ELSE '' END || '/>', chr(10) ORDER BY id) AS refs FROM (SELECT DISTINCT o_custkey AS book_id, o_orderkey AS id FROM orders) GROUP BY 1)"""
+)
+def package_render(spark, sf_dir):
+    """The package document from its identifier on; orders of a customer as its files."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("book_id"), F.col("o_orderkey").alias("pos")).distinct()
+    id_ = F.concat(F.lit("c"), "pos")
+    manifest = o.select("book_id", "pos", id_.alias("id"), F.concat(F.lit("text/"), "pos", F.lit(".xhtml")).alias("href"), F.lit("application/xhtml+xml").alias("media_type"), F.when(F.col("pos") % 2 == 1, "svg").alias("properties"))
+    spine = o.select("book_id", "pos", id_.alias("idref"), F.when(F.col("pos") % 3 == 0, "no").alias("linear"))
+    b = F.col("book_id")
+    books = o.select("book_id").distinct().select(b, F.concat(F.lit("t&"), b).alias("title"), F.when(b % 2 == 0, F.concat(F.lit("a"), b)).alias("author"), F.lit("p").alias("publisher"), F.concat(F.lit("urn:x:"), b).alias("identifier"), F.lit("2000-01-01T00:00:00Z").alias("modified"))
+    mark = "<dc:identifier"
+    return render.opf(books, manifest, spine).select("book_id", F.concat(F.lit(mark), F.substring_index("opf", mark, -1)).alias("opf"))
