@@ -17,6 +17,7 @@ from ..sources import pages as sources
 from ..sources.scratch import written
 from . import blocks as block_plan
 from . import contents
+from .run import build_package
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -684,24 +685,6 @@ def package_check(spark, sf_dir):
     return build_package(blocks, nav, books)[1]
 
 
-def build_package(blocks: DataFrame, nav: DataFrame, books: DataFrame, horizontal: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(packages, problems): chapters, navigation, NCX, style sheet and package document of each book, zipped and
-    checked. books: book_id, title, author, publisher, identifier, modified, first_href."""
-    chapters = render.chapters_xhtml(blocks, not horizontal)
-    files = chapters.select("book_id", F.concat(F.lit("text/"), "file").alias("href"), F.col("xhtml").alias("body"), F.col("chapter_no").alias("n"))
-    fixed = lambda href, df, body, n: df.select("book_id", F.lit(href).alias("href"), body.alias("body"), F.lit(n).alias("n"))
-    files = files.unionByName(fixed("style.css", books, F.lit(render.css(horizontal)), -3)).unionByName(fixed("nav.xhtml", render.nav_xhtml(nav, books, not horizontal), F.col("xhtml"), -2))
-    files = files.unionByName(fixed("toc.ncx", render.ncx(structure.play_order(nav), books), F.col("ncx"), -1))
-    id_ = F.when(F.col("href") == "toc.ncx", "ncx").otherwise(F.regexp_replace("href", r"[/.]", "-"))
-    kind = F.when(F.col("href") == "style.css", "text/css").when(F.col("href") == "toc.ncx", checks.NCX_TYPE).otherwise("application/xhtml+xml")
-    manifest = files.select("book_id", F.col("n").alias("pos"), id_.alias("id"), "href", kind.alias("media_type"), F.when(F.col("href") == "nav.xhtml", "nav").alias("properties"))
-    spine = manifest.where("pos >= 0").select("book_id", "pos", F.col("id").alias("idref"), F.lit(None).cast("string").alias("linear"))
-    package = render.opf(books, manifest, spine, horizontal).select("book_id", F.lit("package.opf").alias("href"), F.col("opf").alias("body"), F.lit(-4).alias("n"))
-    entries = files.unionByName(package).select("book_id", F.col("n").alias("pos"), F.concat(F.lit("OEBPS/"), "href").alias("name"), F.encode("body", "UTF-8").alias("bytes"))
-    packages = written(render.zip_books(entries), "packages")  # the checks read it many times
-    return packages, checks.self_check(written(render.read_zips(packages), "entries"), horizontal)
-
-
 @query()
 def build_blocks(spark, sf_dir):
     """G16 over pages made of documents: each line a word box, each document a page of its source's book."""
