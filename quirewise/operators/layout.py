@@ -28,16 +28,28 @@ def ranked(order: list[Column], keys: list[str] | None = None) -> Column:
     return F.row_number().over(Window.partitionBy(*(keys or PAGE)).orderBy(*order)) - 1
 
 
+LINE = ["x0", "x1", "y0", "y1", "vertical", "text", "h", "w"]
+
+
+def lines_of(words: Column) -> Column:
+    """G1 within a page: its word boxes (array of points, content, direction) as lines in order of ord."""
+
+    def box(word: Column, n: Column) -> Column:
+        xs, ys = F.transform(word["points"], lambda p: p[0]), F.transform(word["points"], lambda p: p[1])
+        ends = F.struct(F.array_min(ys).alias("y0"), F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
+        vertical = F.coalesce(word["direction"] == "vertical", F.lit(False))
+        return X.let(ends, lambda e: F.struct(e["y0"].alias("y0"), e["x0"].alias("x0"), n.alias("n"), e["x1"].alias("x1"), e["y1"].alias("y1"), vertical.alias("vertical"), word["content"].alias("text")))
+
+    def line(b: Column, n: Column) -> Column:
+        sizes = {"h": b["y1"] - b["y0"], "w": b["x1"] - b["x0"]}
+        return F.struct(*(sizes.get(c, b[c]).alias(c) for c in LINE), n.alias("ord"))
+
+    return F.transform(F.sort_array(F.transform(words, box)), line)
+
+
 def build_lines(pages: DataFrame) -> DataFrame:
-    """G1: boxes of words; pages has book_id, page and words (array of points, content, direction)."""
-    words = pages.select(*PAGE, F.posexplode("words").alias("_n", "word"))
-    xs, ys = F.transform("word.points", lambda p: p[0]), F.transform("word.points", lambda p: p[1])
-    box = words.select(
-        *PAGE, "_n", F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"),
-        F.coalesce(F.col("word.direction") == "vertical", F.lit(False)).alias("vertical"), F.col("word.content").alias("text"),
-    )
-    box = box.withColumn("h", F.col("y1") - F.col("y0")).withColumn("w", F.col("x1") - F.col("x0"))
-    return box.withColumn("ord", ranked([F.col("y0"), F.col("x0"), F.col("_n")])).drop("_n")
+    """G1: boxes of words; pages has book_id, page and words, a page is one row."""
+    return pages.select(*PAGE, F.explode(lines_of(F.col("words"))).alias("l")).select(*PAGE, "l.*")
 
 
 def reading_key(vertical: Column) -> list[Column]:
@@ -77,6 +89,11 @@ def base_span(text: pd.Series, t0: pd.Series, t1: pd.Series, r0: pd.Series, r1:
     return pd.DataFrame([base_of(*row) for row in zip(text, t0, t1, r0, r1, ruby)], columns=["start", "end"])
 
 
+def may_change(text: Column) -> Column:
+    """Whether attach_ruby() or fix_part_numerals() may change a page that has such a line; they leave others as they are."""
+    return F.coalesce(text.rlike(rf"(?U)^[\s{P.RUBY_CHARS}]+\z") | text.rlike(P.PART_TOKEN_RE), F.lit(False))
+
+
 def ruby_runs(lines: DataFrame) -> DataFrame:
     """G3 up to the base: runs of small kana lines with the line they stand beside.
 
@@ -187,21 +204,49 @@ def rows_of(lines: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.withColumn("row", ranked([F.col("_column"), F.col("_row")])).drop("_column", "_row")
 
 
-def elements(pages: DataFrame) -> DataFrame:
-    """Paragraphs, tables and figures of each page as rows, ranked by `order`, then kind, then place."""
-    none = {"direction": "string", "role": "string", "contents": "string", "n_row": "int", "n_col": "int", "cells": None, "labels": "array<string>"}
+ELEMENT = ["el", "nth", "etype", "box", "direction", "role", "contents", "n_row", "n_col", "cells", "labels"]
+
+
+def elements_of(pages: DataFrame) -> Column:
+    """G19 within a page: its paragraphs, tables and figures, ranked by `order`, then kind, then place; nth counts a kind."""
     cells = pages.schema["tables"].dataType.elementType["cells"].dataType.simpleString()
+    kinds = {"box": "array<double>", "direction": "string", "role": "string", "contents": "string", "n_row": "int", "n_col": "int", "cells": cells, "labels": "array<string>"}
+    own = {"paragraphs": ("p", ["box", "direction", "role", "contents"]), "tables": ("t", ["box", "n_row", "n_col", "cells"]), "figures": ("f", ["box"])}
+
+    def part(rank: int, column: str) -> Column:
+        def element(e: Column, n: Column) -> Column:
+            given = {c: e[c] for c in own[column][1]} | ({"labels": F.transform(e["paragraphs"], lambda p: p["contents"])} if column == "figures" else {})
+            values = (given.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items())
+            return F.struct(e["order"].cast("long").alias("order"), F.lit(rank).alias("kind"), n.alias("n"), F.lit(own[column][0]).alias("etype"), *values)
+
+        return F.transform(F.coalesce(F.col(column), F.array().cast(pages.schema[column].dataType)), element)
+
+    def ranked_in(es: Column) -> Column:
+        nth = lambda e, k: F.when(e["etype"] == "f", F.size(F.filter(F.slice(es, 1, k + 1), lambda x: x["etype"] == "f")))
+        return F.transform(es, lambda e, k: F.struct(k.alias("el"), nth(e, k).alias("nth"), *(e[c].alias(c) for c in ELEMENT[2:])))
+
+    return X.let(F.sort_array(F.concat(*(part(k, c) for k, c in enumerate(own)))), ranked_in)
+
+
+def owners(lines: Column, els: Column) -> Column:
+    """G7 within a page: the elements, each with `lines`: those whose first element it is that, a little widened, holds
+    their centre, as structs of text, size, offset in reading order."""
+
+    def holds(b: Column, l: Column) -> Column:
+        cx, cy = (l["x0"] + l["x1"]) / 2, (l["y0"] + l["y1"]) / 2
+        return cx.between(b[0] - SLACK, b[2] + SLACK) & cy.between(b[1] - SLACK, b[3] + SLACK)
+
+    def taken(own: Column) -> Column:
+        def filled(e: Column) -> Column:
+            v = F.coalesce(e["direction"] == "vertical", F.lit(False))
+            key = lambda l: F.struct(F.when(v, -l["x0"]).otherwise(l["y0"]).alias("k1"), F.when(v, l["y0"]).otherwise(l["x0"]).alias("offset"), l["ord"].alias("ord"), l["text"].alias("text"), F.when(v, l["w"]).otherwise(l["h"]).alias("size"))
+            mine = F.transform(F.filter(own, lambda o: o["el"] == e["el"]), lambda o: key(o["l"]))
+            return F.struct(*(e[c].alias(c) for c in ELEMENT), F.sort_array(mine).alias("lines"))
 
-    def part(kind: str, rank: int, column: str, **fields: Column) -> DataFrame:
-        rows = pages.select(*PAGE, F.posexplode(column).alias("_n", "e"))
-        values = [fields.get(c, F.lit(None)).cast(t or cells).alias(c) for c, t in none.items()]
-        return rows.select(*PAGE, F.lit(kind).alias("etype"), F.lit(rank).alias("_kind"), "_n", F.col("e.order").alias("order"), F.col("e.box").alias("box"), *values)
+        return F.transform(els, filled)
 
-    e = lambda c: F.col(f"e.{c}")
-    out = part("p", 0, "paragraphs", direction=e("direction"), role=e("role"), contents=e("contents"))
-    out = out.unionByName(part("t", 1, "tables", n_row=e("n_row"), n_col=e("n_col"), cells=e("cells")))
-    out = out.unionByName(part("f", 2, "figures", labels=F.transform(e("paragraphs"), lambda p: p["contents"])))
-    return out.withColumn("el", ranked([F.col("order"), F.col("_kind"), F.col("_n")])).drop("_kind", "_n", "order")
+    first = lambda l: F.get(F.filter(els, lambda e: holds(e["box"], l)), F.lit(0))["el"]
+    return X.let(F.transform(lines, lambda l: F.struct(first(l).alias("el"), l.alias("l"))), taken)
 
 
 def take_lines(lines: DataFrame, boxes: DataFrame) -> DataFrame:
@@ -214,15 +259,16 @@ def take_lines(lines: DataFrame, boxes: DataFrame) -> DataFrame:
     return pairs.withColumn("_k", ranked([F.col("el")], [*PAGE, "ord"])).where("_k = 0").drop("_k")
 
 
-def chapter_title(lines: DataFrame) -> DataFrame:
-    """(page keys, titles) of pages that are a chapter's title page: number tokens from the left, title from the right."""
-    t = lines.withColumn("_t", F.replace(X.normalize(F.col("text")), F.lit(" "), F.lit(""))).where("_t <> ''")
-    t = t.withColumn("_num", F.col("_t").rlike(r"^(第|章|\d{1,2})$") | F.col("_t").rlike("^[序終]章$"))
+def chapter_title(lines: Column, texts: Column) -> Column:
+    """G8 within a page: titles if it is a chapter's title page, else null: number tokens from the left, title from the
+    right; texts has the normalized text of each line."""
+    t = F.zip_with(lines, texts, lambda l, x: F.struct(l["x0"].alias("x0"), l["ord"].alias("ord"), F.replace(x, F.lit(" "), F.lit("")).alias("t")))
+    t = F.filter(t, lambda x: x["t"] != "")
+    number = lambda x: x["t"].rlike(r"^(第|章|\d{1,2})$") | x["t"].rlike("^[序終]章$")
 
-    def text(which: Column, k: Column) -> Column:
-        some = F.collect_list(F.when(which, F.struct(k.alias("k"), F.col("ord"), F.col("_t"))))
-        return F.array_join(F.transform(F.array_sort(some), lambda s: s["_t"]), "")
+    def told(parts: Column, x0) -> Column:
+        return F.array_join(F.transform(F.sort_array(F.transform(parts, lambda x: F.struct(x0(x).alias("k"), x["ord"].alias("ord"), x["t"].alias("t")))), lambda x: x["t"]), "")
 
-    pages = t.groupBy(*PAGE).agg(text(F.col("_num"), F.col("x0")).alias("head"), text(~F.col("_num"), -F.col("x0")).alias("title"))
-    pages = pages.where(F.col("head").rlike(r"^第\d{1,2}章$") | F.col("head").rlike("^[序終]章$"))
-    return pages.select(*PAGE, F.filter(F.array("head", "title"), lambda s: s != "").alias("titles"))
+    heads = F.struct(told(F.filter(t, number), lambda x: x["x0"]).alias("head"), told(F.filter(t, lambda x: ~number(x)), lambda x: -x["x0"]).alias("title"))
+    is_head = lambda h: h["head"].rlike(r"^第\d{1,2}章$") | h["head"].rlike("^[序終]章$")
+    return X.let(heads, lambda h: F.when(is_head(h), F.filter(F.array(h["head"], h["title"]), lambda x: x != "")))

@@ -1,4 +1,8 @@
 import json
+import random
+from pathlib import Path
+from urllib.parse import urlparse
+from urllib.request import url2pathname
 
 import pytest
 
@@ -69,6 +73,18 @@ def test_layout_part_and_contents_fallback(spark, blocks):
     assert got == [("heading", "大", 1, ["目次"]), ("raw", None, 1, "第1章"), ("raw", None, 1, "7"), ("heading", "大", 2, ["第Ⅱ部", "題"]), ("para", None, 3, ["一行", "二行"]), ("raw", None, 3, "図1説明")]
 
 
+def test_texts_are_written_once(spark, blocks):
+    """The tables in between hold each text once; a paragraph goes on over pages whose lines aren't indented."""
+    r = random.Random(1)
+    texts = [[f"{r.getrandbits(3200):x}" for _ in range(50)] for _ in range(40)]
+    root = Path(url2pathname(urlparse(spark.conf.get("spark.checkpoint.dir")).path))
+    had = set(root.iterdir()) if root.exists() else set()
+    got, stats = blocks(*(page(n, [word(130 if n % 10 == 1 and k == 0 else 100, 40 * k, 500, 40 * k + 30, t) for k, t in enumerate(ts)], [para((90, 0, 510, 2100))], h=3000) for n, ts in enumerate(texts, 1)))
+    assert got == [("para", None, n + 1, sum(texts[n : n + 10], [])) for n in range(0, 40, 10)] and (stats.ruby, stats.removed) == (0, 0)
+    size = sum(f.stat().st_size for new in set(root.iterdir()) - had for f in new.rglob("*.parquet"))
+    assert size < 2 * sum(len(t) for ts in texts for t in ts)
+
+
 def test_vertical_ruby_and_order(spark, book):
     lines = L.build_lines(book(page(1, [word(500, 100, 530, 500, "天体の運行", True), word(532, 100, 545, 260, "てんたい", True), word(440, 100, 470, 500, "二行目", True), word(380, 100, 410, 500, "三行目", True)])))
     marked = L.reading_order(L.attach_ruby(lines)).orderBy("rank")
